@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillscope.functions.measures import as_double
-from tillscope.operators.cleaning import clean, known_category
+from tillscope.operators.calendar import with_months
+from tillscope.operators.cleaning import clean
 from tillscope.operators.quality import quality_report
 from tillscope.operators.rollup import merchant_totals, roll_up
 from tillscope.plans import insights, results
@@ -74,10 +74,6 @@ def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return clean(star.transactions(spark, folder), star.merchants(spark, folder))
 
 
-def _with_months(sales: DataFrame) -> DataFrame:
-    return sales.withColumns({"year": F.year("purchase_date"), "month": F.month("purchase_date")})
-
-
 def _sample_rows(spark: SparkSession, folder: str) -> DataFrame:
     """First five cleaned rows (the feature is a five-row sample), in a repeatable order."""
     cleaned = _cleaned(spark, folder)
@@ -131,9 +127,9 @@ def queries() -> dict[str, Query]:
         ),
     }
     layers = {
-        "raw_transactions": lambda spark, d: _with_months(star.transactions(spark, d)),
+        "raw_transactions": lambda spark, d: with_months(star.transactions(spark, d)),
         "raw_merchants": star.merchants,
-        "cleaned_transactions": lambda spark, d: _with_months(_cleaned(spark, d)),
+        "cleaned_transactions": lambda spark, d: with_months(_cleaned(spark, d)),
         "sample_rows": _sample_rows,
         "data_quality_report": _data_quality,
     }

@@ -1,0 +1,187 @@
+"""Whole runs from files, through the job, the command line and the class interface."""
+
+import pytest
+
+from tests.data import MERCHANTS, SALES, cleaned, merchants, row_set, rows, transactions
+from tillscope import api, cli, session
+from tillscope.functions.measures import as_double
+from tillscope.job import TASKS, SparkJob
+from tillscope.operators.rollup import merchant_totals
+from tillscope.plans import results
+from tillscope.plans.cube import SalesCube
+
+
+@pytest.fixture(scope="module")
+def inputs(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("inputs")
+    transactions(spark).write.parquet(str(folder / "sales.parquet"))
+    lines = ["merchant_id,merchant_name,city_id,state_id"]
+    lines += [",".join("" if v is None else str(v) for v in row) for row in MERCHANTS]
+    (folder / "merchants.csv").write_text("\n".join(lines) + "\n")
+    return str(folder / "sales.parquet"), str(folder / "merchants.csv")
+
+
+@pytest.fixture
+def database(spark, request):
+    name = f"db_{request.node.name.split('[')[0]}"
+    yield name
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def databases(spark):
+    return {d.name for d in spark.catalog.listDatabases()}
+
+
+@pytest.mark.parametrize("scale", [None, 2])
+def test_cube_equals_single_sales(spark, scale):
+    cube = SalesCube(spark).build(transactions(spark), merchants(spark), scale)
+    try:
+        sales = cleaned(spark)
+        for output in (o for outputs in TASKS.values() for o in outputs):
+            side = cube.by_merchant if output.by_merchant else cube.by_calendar
+            got, want = as_double(output.build(side)), as_double(output.build(sales))
+            assert got.dtypes == want.dtypes, output.table
+            assert row_set(got) == row_set(want), output.table
+    finally:
+        cube.drop()
+    assert cube.database not in databases(spark)
+
+
+def test_cube_scans_the_sales_once(spark, tmp_path):
+    from tillscope.plans.cube import sales_totals
+    from tillscope.sources.files import load_transactions
+
+    path = str(tmp_path / "sales")
+    transactions(spark).write.parquet(path)
+    plan = sales_totals(load_transactions(spark, path), merchants(spark), 2)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation [") == 1
+
+
+def test_run_all(spark, inputs, tmp_path, database, capsys):
+    job = SparkJob(*inputs, use_hive=True, spark=spark, database=database, amount_scale=2)
+    job.run_all_tasks(str(tmp_path))
+    sales = cleaned(spark)
+    for output in (o for outputs in TASKS.values() for o in outputs):
+        want = as_double(output.build(sales))
+        assert row_set(spark.table(f"{database}.{output.table}")) == row_set(want)
+        written = spark.read.schema(want.schema).option("header", True).csv(str(tmp_path / output.file))
+        assert row_set(written) == row_set(want)
+    assert any(n.startswith("tillscope_work_") for n in databases(spark))
+    job.stop()
+    assert not any(n.startswith("tillscope_work_") for n in databases(spark))
+    printed = capsys.readouterr().out
+    assert "TASK 5" in printed and "market_share_pct" in printed
+
+
+def test_raw_layers_need_the_catalog(spark, inputs, database):
+    with pytest.raises(ValueError, match="catalog mode"):
+        SparkJob(*inputs, use_hive=False, spark=spark).load_raw_data()
+    SparkJob(*inputs, spark=spark, database=database).load_raw_data()
+    names = {t.name for t in spark.catalog.listTables(database)}
+    assert names == {"raw_transactions", "raw_merchants", "cleaned_transactions"}
+
+
+@pytest.mark.parametrize(
+    "command, files",
+    [
+        (["task1", "-o", "{}/a.csv"], ["a.csv"]),
+        (["task2", "--output", "{}/a.csv"], ["a.csv"]),
+        (["task3", "-o", "{}/a.csv"], ["a.csv"]),
+        (["task4", "-om", "{}/m.csv", "-oc", "{}/c.csv"], ["m.csv", "c.csv"]),
+        (["task5", "-o", "{}/r"], ["r/top_cities.csv", "r/installment_analysis.csv"]),
+    ],
+)
+def test_commands(spark, inputs, tmp_path, command, files):
+    sales, dimension = inputs
+    argv = ["-t", sales, "-m", dimension, "--no-hive", *[a.format(tmp_path) for a in command]]
+    assert cli.main(argv, spark=spark) == 0
+    for file in files:
+        assert list((tmp_path / file).glob("*.csv")), file
+
+
+def test_task_option(spark, inputs, tmp_path):
+    sales, dimension = inputs
+    argv = ["-t", sales, "-m", dimension, "--no-hive", "--task", "3", "-o", str(tmp_path)]
+    assert cli.main(argv, spark=spark) == 0
+    assert (tmp_path / "task3_top_hours_by_category.csv").is_dir()
+
+
+def test_errors_give_exit_code_1(spark, inputs, tmp_path, capsys):
+    sales, dimension = inputs
+    assert cli.main(["-t", str(tmp_path / "no"), "-m", dimension, "--no-hive", "task3"], spark=spark) == 1
+    assert "PATH_NOT_FOUND" in capsys.readouterr().err
+    assert cli.main(["-t", sales, "-m", dimension, "--no-hive", "load-raw-data"], spark=spark) == 1
+    with pytest.raises(SystemExit):
+        cli.main(["-t", sales, "-m", dimension], spark=spark)
+    with pytest.raises(SystemExit):
+        cli.main(["-t", sales, "-m", dimension, "--task", "9"], spark=spark)
+
+
+def test_spark_settings():
+    args = cli.build_parser().parse_args(
+        ["-t", "a", "-m", "b", "--spark-master", "local[1]", "--spark-executor-memory", "3g", "run-all"]
+    )
+    assert args.use_hive
+    assert cli.spark_settings(args) == {
+        "spark.executor.memory": "3g", "spark.executor.cores": "2", "spark.master": "local[1]",
+    }
+
+
+def test_shared_folder_is_the_clusters(spark):
+    assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_session_conf_overrides_defaults(spark):
+    """Settings reach the session; the running one is reused here."""
+    key = "spark.sql.shuffle.partitions"
+    before = {k: spark.conf.get(k, None) for k in session.DEFAULT_CONF}
+    try:
+        again = session.create_session(conf={key: "3"})
+        assert again.conf.get(key) == "3"
+        assert again.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        for k, value in before.items():
+            spark.conf.set(k, value) if value is not None else spark.conf.unset(k)
+
+
+def test_class_interface(spark, inputs):
+    loader = api.DataLoader(spark)
+    df = loader.get_cleaned_data(*inputs)
+    assert row_set(df) == row_set(cleaned(spark))
+    analysis = api.MerchantAnalysis()
+    top = analysis.task1_top_merchants_by_city_month(df)
+    assert set(top.columns) == {"month", "city_id", "merchant_name", "purchase_total", "no_of_sales"}
+    assert rows(analysis.task2_average_sale_by_merchant_state(df))[0] == ("M004", 30, 3000.0)
+    assert rows(analysis.task3_top_hours_by_category(df))[0] == ("Electronics", "15")
+    popular, dominant = analysis.task4_popular_merchants_location_analysis(df)
+    assert popular.columns == ["merchant_name", "city_id", "transaction_count", "rank"]
+    assert dominant.columns == ["city_id", "dominant_category", "category_transactions"]
+    parts = analysis.task5_business_recommendations(df)
+    assert set(parts) == {
+        "top_cities", "top_categories", "monthly_trends", "hourly_patterns", "installment_recommendation",
+    }
+    assert all(part.count() > 0 for part in parts.values())
+    sums = spark.createDataFrame(
+        [(2, 10.0, 1, 100.0)],
+        "installments int, avg_purchase_amount double, transaction_count bigint, total_sales double",
+    )
+    assert rows(analysis._analyze_installment_profitability(sums)) == [
+        (2, 10.0, 1, 25.0, 11.45, 13.55, 13.55)
+    ]
+
+
+def test_one_merchant_with_a_third_of_all_sales(spark):
+    """A heavy merchant's sales are summed before the join, and nothing is lost."""
+    heavy = spark.range(3000).selectExpr(
+        "IF(id % 3 = 0, 'M001', concat('X', id)) AS merchant_id",
+        "CAST(id % 50 AS double) / 4 AS purchase_amount",
+        "timestamp'2023-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id AS int)) AS purchase_date",
+        "CAST(NULL AS string) AS category",
+        "CAST(id % 4 AS int) AS installments",
+    )
+    totals = merchant_totals(heavy, merchants(spark), ("year", "month"), scale=2)
+    assert totals.where("merchant_id = 'M001'").count() == 5
+    trends = results.monthly_sales_trends(totals).agg({"transaction_count": "sum"}).first()
+    assert trends[0] == 3000
+    assert len(SALES) == 6

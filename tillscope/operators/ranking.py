@@ -16,38 +16,35 @@ def top_ranked(
     by: Sequence[str],
     n: int,
     *,
-    spread: Sequence[str] = (),
-    slices: int = 64,
+    spread: bool = False,
     rank: str = "rank",
 ) -> DataFrame:
     """Rows whose dense rank by ``by`` (all descending) within ``groups`` is at most ``n``.
 
-    A plain window brings all tied rows of a group to one task. With ``spread`` (columns
-    that tell the rows of a group apart) the work is divided instead:
+    A plain window already drops most rows before its shuffle, but it brings all tied rows
+    of a group to one task. With ``spread`` the work on a group is divided instead:
 
-    1. each group is cut into ``slices`` by a hash of ``spread``, and every slice keeps its
-       own best ``n`` ranks, which cannot drop a row of the group's best ``n``;
-    2. the distinct values left over, at most ``n`` per slice and group, are ranked;
+    1. every task keeps the best ``n`` ranks of the part of each group it happens to hold,
+       which cannot drop a row of the group's best ``n``, whatever the parts are;
+    2. the distinct values left over, at most ``n`` per part and group, are ranked;
     3. the kept rows look up their rank by value.
 
     Step 3 compares values computed twice, so it needs values that come out the same each
     time. Counts and decimals do; sums of doubles need not, and take the plain window.
     """
     values = [F.desc(c) for c in by]
+    in_group = W.partitionBy(*groups).orderBy(*values)
     floating = any(isinstance(df.schema[c].dataType, T.DoubleType | T.FloatType) for c in by)
-    if not spread or floating:
-        window = W.partitionBy(*groups).orderBy(*values)
-        return df.withColumn(rank, F.dense_rank().over(window)).where(F.col(rank) <= n)
+    if floating or not spread:
+        return df.withColumn(rank, F.dense_rank().over(in_group)).where(F.col(rank) <= n)
 
-    slice_id = F.pmod(F.xxhash64(*spread), F.lit(slices))
-    in_slice = W.partitionBy(*groups, "slice").orderBy(*values)
+    in_part = W.partitionBy(*groups, "part").orderBy(*values)
     kept = (
-        df.withColumn("slice", slice_id)
-        .withColumn("slice_rank", F.dense_rank().over(in_slice))
-        .where(F.col("slice_rank") <= n)
-        .drop("slice", "slice_rank")
+        df.withColumn("part", F.spark_partition_id())
+        .withColumn("part_rank", F.dense_rank().over(in_part))
+        .where(F.col("part_rank") <= n)
+        .drop("part", "part_rank")
     )
-    in_group = W.partitionBy(*groups).orderBy(*values)
     ranks = (
         kept.select(*groups, *by)
         .distinct()

@@ -56,7 +56,7 @@ def top_merchants_by_month_city(sales: DataFrame, n: int = 5) -> DataFrame:
         ["year", "month", "city_id"],
         ["purchase_total", "no_of_sales"],
         n,
-        spread=["merchant_name"],
+        spread=True,
     )
     # Sorted while year and month are still numbers, so months run in calendar order.
     return best.orderBy("year", "month", "city_id", "rank", "merchant_name").select(
@@ -118,7 +118,7 @@ def popular_merchants_by_city(sales: DataFrame, n: int = 10) -> DataFrame:
     """Merchants with the most sales in each city."""
     counts = sales.groupBy("merchant_name", "city_id").agg(m.sales(sales).alias("transaction_count"))
     return top_ranked(
-        counts, ["city_id"], ["transaction_count"], n, spread=["merchant_name"]
+        counts, ["city_id"], ["transaction_count"], n, spread=True
     ).select("merchant_name", "city_id", "transaction_count", "rank")
 
 
@@ -186,45 +186,55 @@ def hourly_sales_patterns(sales: DataFrame) -> DataFrame:
     )
 
 
-def installment_profitability_analysis(
-    sales: DataFrame,
+def installment_profitability_analysis(sales: DataFrame, **assumptions: str) -> DataFrame:
+    """Profit of each instalment plan; see :func:`profitability` for the assumptions."""
+    return profitability(installment_sums(sales), **assumptions).orderBy("installments")
+
+
+def installment_sums(sales: DataFrame) -> DataFrame:
+    """Mean sale, number of sales and money taken per instalment plan, unsorted."""
+    sums = sales.groupBy("installments").agg(
+        m.sales(sales).alias("transaction_count"), m.total(sales).alias("total_sales")
+    )
+    return sums.withColumn(
+        "avg_purchase_amount", m.mean("total_sales", "transaction_count", m.money_scale(sales))
+    )
+
+
+def profitability(
+    sums: DataFrame,
     *,
     gross_margin: str = GROSS_MARGIN,
     default_rate: str = DEFAULT_RATE,
     loss_share: str = LOSS_SHARE,
 ) -> DataFrame:
-    """Profit of each instalment plan after the expected loss from defaults.
+    """Gross profit, expected default loss, net profit and margin of each plan in ``sums``.
 
-    Only plans of more than one payment can default. A plan whose sales sum to nothing has
-    no margin.
+    Only plans of more than one payment can default; a plan of unknown length, or of none,
+    cannot. A plan whose sales sum to nothing has no margin.
     """
-    scale = m.money_scale(sales)
-    sums = sales.groupBy("installments").agg(
-        m.total(sales).alias("total"), m.sales(sales).alias("transaction_count")
-    )
-    if scale is None:
-        total = F.col("total")
-        number = lambda text: F.lit(float(text))
+    kind = sums.schema["total_sales"].dataType
+    if isinstance(kind, T.DecimalType):
+        taken, number = F.col("total_sales").cast(T.DecimalType(24, kind.scale)), Decimal
     else:
-        total = F.col("total").cast(T.DecimalType(24, scale))
-        number = lambda text: F.lit(Decimal(text))
+        taken, number = F.col("total_sales"), float
 
-    loss = F.when(
-        F.col("installments") > 1, total * number(default_rate) * number(loss_share)
-    ).otherwise(F.lit(0))
-    money = sums.select(
-        "installments",
-        m.mean("total", "transaction_count", scale).alias("avg_purchase_amount"),
-        "transaction_count",
-        (total * number(gross_margin)).alias("gross_profit"),
-        loss.alias("expected_default_loss"),
-        total.alias("total"),
+    default_loss = F.when(
+        F.col("installments") > 1, taken * F.lit(number(default_rate)) * F.lit(number(loss_share))
+    ).otherwise(F.lit(number("0")))
+    profits = sums.withColumns(
+        {"gross_profit": taken * F.lit(number(gross_margin)), "expected_default_loss": default_loss}
     ).withColumn("net_profit", F.col("gross_profit") - F.col("expected_default_loss"))
-    margin = F.try_divide(F.col("net_profit"), F.col("total")) * 100
-    return money.select(
+    margin = F.try_divide(F.col("net_profit"), taken) * F.lit(100)
+
+    cents = {
+        c: F.round(c, 2).alias(c)
+        for c in ("avg_purchase_amount", "gross_profit", "expected_default_loss", "net_profit")
+    }
+    return profits.select(
         "installments",
-        F.round("avg_purchase_amount", 2).alias("avg_purchase_amount"),
+        cents.pop("avg_purchase_amount"),
         "transaction_count",
-        *[F.round(c, 2).alias(c) for c in ("gross_profit", "expected_default_loss", "net_profit")],
+        *cents.values(),
         F.round(margin, 2).alias("profit_margin_pct"),
-    ).orderBy("installments")
+    )

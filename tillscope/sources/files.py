@@ -30,15 +30,3 @@ def load_merchants(spark: SparkSession, path: str) -> DataFrame:
     return text.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.MERCHANTS]
     )
-
-
-def for_months(sales: DataFrame, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
-    """Sales of the months from ``first`` to ``last`` inclusive, as ``(year, month)``.
-
-    Meant for tables partitioned by year and month, where the filter prunes folders.
-    """
-    number = F.col("year") * 12 + F.col("month")
-    years = F.col("year").between(first[0], last[0])
-    return sales.where(
-        years & number.between(first[0] * 12 + first[1], last[0] * 12 + last[1])
-    )
