@@ -15,7 +15,6 @@ from tillscope.plans import insights, results
 from tillscope.sources import star
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-CENTS = 2
 # Fixed value: the moment the quality report calls "now"; some test orders lie after it.
 REPORT_TIME = "2001-01-01 00:00:00"
 
@@ -35,7 +34,7 @@ def _calendar_sales(spark: SparkSession, folder: str, result: str) -> DataFrame:
     """Totals that need no merchant at all."""
     keys = results.CALENDAR_KEYS[result]
     if "installments" in keys:
-        return roll_up(star.transactions(spark, folder), keys, scale=CENTS)
+        return roll_up(star.transactions(spark, folder), keys, in_cents=True)
     return roll_up(star.order_totals(spark, folder), keys)
 
 

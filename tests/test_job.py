@@ -32,9 +32,9 @@ def databases(spark):
     return {d.name for d in spark.catalog.listDatabases()}
 
 
-@pytest.mark.parametrize("scale", [None, 2])
-def test_cube_equals_single_sales(spark, scale):
-    cube = SalesCube(spark).build(transactions(spark), merchants(spark), scale)
+@pytest.mark.parametrize("in_cents", [False, True])
+def test_cube_equals_single_sales(spark, in_cents):
+    cube = SalesCube(spark).build(transactions(spark), merchants(spark), in_cents=in_cents)
     try:
         sales = cleaned(spark)
         for output in (o for outputs in TASKS.values() for o in outputs):
@@ -53,13 +53,13 @@ def test_cube_scans_the_sales_once(spark, tmp_path):
 
     path = str(tmp_path / "sales")
     transactions(spark).write.parquet(path)
-    plan = sales_totals(load_transactions(spark, path), merchants(spark), 2)
+    plan = sales_totals(load_transactions(spark, path), merchants(spark), in_cents=True)
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Relation [") == 1
 
 
 def test_run_all(spark, inputs, tmp_path, database, capsys):
-    job = SparkJob(*inputs, use_hive=True, spark=spark, database=database, amount_scale=2)
+    job = SparkJob(*inputs, use_hive=True, spark=spark, database=database, in_cents=True)
     job.run_all_tasks(str(tmp_path))
     sales = cleaned(spark)
     for output in (o for outputs in TASKS.values() for o in outputs):
@@ -180,7 +180,7 @@ def test_one_merchant_with_a_third_of_all_sales(spark):
         "CAST(NULL AS string) AS category",
         "CAST(id % 4 AS int) AS installments",
     )
-    totals = merchant_totals(heavy, merchants(spark), ("year", "month"), scale=2)
+    totals = merchant_totals(heavy, merchants(spark), ("year", "month"), in_cents=True)
     assert totals.where("merchant_id = 'M001'").count() == 5
     trends = results.monthly_sales_trends(totals).agg({"transaction_count": "sum"}).first()
     assert trends[0] == 3000

@@ -21,7 +21,7 @@ def make(request, spark):
             transactions(spark, sales),
             merchants(spark, dimension),
             ("year", "month", "hour", "category", "installments"),
-            scale=2 if request.param == "exact totals" else None,
+            in_cents=request.param == "exact totals",
         )
 
     return build
@@ -179,7 +179,7 @@ def test_sums_agree_between_tables(spark):
     """Money is neither lost nor doubled on the way to any table."""
     sales = merchant_totals(
         transactions(spark), merchants(spark), ("year", "month", "hour", "category", "installments"),
-        scale=2,
+        in_cents=True,
     )
     whole = sum(s[1] for s in SALES)
     tables = [
@@ -196,7 +196,7 @@ def test_sums_agree_between_tables(spark):
 def test_half_cent_means_round_up_exactly(spark):
     """0.005 and 0.015 have no exact double; exact money still rounds them half up."""
     sales = [sale("M001", 0.01), sale("M001", 0.0), sale("M002", 0.01), sale("M002", 0.02)]
-    totals = merchant_totals(transactions(spark, sales), merchants(spark), scale=2)
+    totals = merchant_totals(transactions(spark, sales), merchants(spark), in_cents=True)
     got = {r[0]: r[2] for r in rows(results.merchant_state_averages(totals))}
     assert got == {"Merchant A": 0.01, "Merchant B": 0.02}
 
@@ -213,5 +213,5 @@ def test_column_types(spark):
 
 
 def test_calendar_roll_up_needs_no_merchants(spark):
-    hours = roll_up(transactions(spark), ("category", "hour"), scale=2)
+    hours = roll_up(transactions(spark), ("category", "hour"), in_cents=True)
     assert rows(results.top_hours_by_category(hours))[0] == ("Electronics", "15")

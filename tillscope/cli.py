@@ -28,8 +28,7 @@ def build_parser() -> argparse.ArgumentParser:
     hive.add_argument("--no-hive", dest="use_hive", action="store_false", help="files only")
     parser.add_argument("--database", default=DATABASE, help="catalog database (%(default)s)")
     parser.add_argument(
-        "--amount-scale", type=int, metavar="N",
-        help="amounts have at most N decimals: add them exactly",
+        "--in-cents", action="store_true", help="amounts have at most two decimals: add them exactly"
     )
     parser.add_argument("--task", choices=[*TASKS, "all"], help="task to run, instead of a command")
     parser.add_argument("-o", "--output", help=f"folder of the results ({REPORTS})")
@@ -92,7 +91,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         args.use_hive,
         spark_settings(args),
         database=args.database,
-        amount_scale=args.amount_scale,
+        in_cents=args.in_cents,
         spark=spark,
     )
     try:

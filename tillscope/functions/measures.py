@@ -3,15 +3,16 @@
 Two kinds of input occur everywhere in this package:
 
 * *sales rows*: one row per sale, with ``purchase_amount`` and ``purchase_date``;
-* *sales totals*: rows already grouped by some keys, with ``sales_total`` (money) and
-  ``sales_count`` (number of sales).
+* *sales totals*: rows already grouped by some keys, with ``sales_count`` (number of sales)
+  and the money taken, as ``sales_cents`` (whole cents) or ``sales_total`` (anything else).
 
 Summing is associative, so every analysis gives the same answer on either. The helpers
 here pick the right expression by looking at the columns present.
 
-Money may be a double (order of addition then decides the last bits, as with any
-distributed sum of doubles) or a decimal, which is exact whatever the order, and so stays
-the same when a lost executor's tasks are run again.
+Sums of doubles depend in their last bits on the order of addition, which on a cluster is
+never the same twice. Cents are added as 64-bit integers: exact in any order, unchanged
+when a lost executor's tasks run again, and cheap in generated code. Results of exact money
+are decimals; a group may hold 9.2e16 units of currency, beyond which ANSI mode raises.
 """
 
 from __future__ import annotations
@@ -23,15 +24,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TOTAL = "sales_total"
+CENTS = "sales_cents"
 COUNT = "sales_count"
 
 
 def is_totals(df: DataFrame) -> bool:
-    return TOTAL in df.columns
+    return COUNT in df.columns
+
+
+def money_scale(df: DataFrame) -> int | None:
+    """Decimals of exact money; None when money is a double."""
+    if CENTS in df.columns:
+        return 2
+    kind = df.schema[TOTAL if is_totals(df) else "purchase_amount"].dataType
+    return kind.scale if isinstance(kind, T.DecimalType) else None
 
 
 def total(df: DataFrame) -> Column:
     """Aggregate: money taken."""
+    if CENTS in df.columns:
+        return F.sum(CENTS).cast("decimal(20,0)") * F.lit(Decimal("0.01"))
     return F.sum(TOTAL if is_totals(df) else "purchase_amount")
 
 
@@ -40,22 +52,29 @@ def sales(df: DataFrame) -> Column:
     return F.sum(COUNT) if is_totals(df) else F.count(F.lit(1))
 
 
-def exact_total_of_amounts(amount: Column | str, scale: int) -> Column:
-    """Aggregate: sum of amounts that have at most ``scale`` decimals, as a decimal.
+def cents(df: DataFrame, amount: str) -> Column:
+    """An amount of at most two decimals as whole cents."""
+    hundredfold = F.col(amount) * F.lit(100)
+    if isinstance(df.schema[amount].dataType, T.DecimalType):
+        return F.round(hundredfold).cast("bigint")
+    return F.rint(hundredfold).cast("bigint")
 
-    The additions run on whole hundredths (for scale 2) in a 64-bit integer, which stays
-    inside generated code, where a wide decimal would allocate per row. The bound of about
-    9.2e18 units per group is checked by ANSI mode, which raises instead of wrapping.
-    """
-    amount = F.col(amount) if isinstance(amount, str) else amount
-    units = F.sum(F.round(amount * F.lit(10**scale)).cast("bigint"))
-    return units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))
 
+def totals(df: DataFrame, *, in_cents: bool = False, amount: str = "purchase_amount") -> list[Column]:
+    """Aggregates that turn sales of either kind into (coarser) sales totals.
 
-def money_scale(df: DataFrame) -> int | None:
-    """Decimals of exact money; None when money is a double."""
-    kind = df.schema[TOTAL if is_totals(df) else "purchase_amount"].dataType
-    return kind.scale if isinstance(kind, T.DecimalType) else None
+    ``in_cents`` declares that single amounts have at most two decimals. Totals stay in the
+    unit they are in.
+    """
+    if CENTS in df.columns:
+        money = F.sum(CENTS).alias(CENTS)
+    elif is_totals(df):
+        money = F.sum(TOTAL).alias(TOTAL)
+    elif in_cents:
+        money = F.sum(cents(df, amount)).alias(CENTS)
+    else:
+        money = F.sum(amount).alias(TOTAL)
+    return [money, sales(df).alias(COUNT)]
 
 
 def mean(total_col: str, count_col: str, scale: int | None) -> Column:

@@ -94,8 +94,8 @@ class SparkJob:
     """One run over a transactions file and a merchants file.
 
     ``use_hive`` selects catalog mode: results also become tables of ``database``.
-    ``amount_scale`` declares that amounts have at most that many decimals; sums are then
-    exact and repeatable. Without it they are sums of doubles.
+    ``in_cents`` declares that amounts have at most two decimals; sums are then exact and
+    repeatable. Without it they are sums of doubles.
     """
 
     def __init__(
@@ -106,14 +106,14 @@ class SparkJob:
         spark_config: Mapping[str, str] | None = None,
         *,
         database: str = DATABASE,
-        amount_scale: int | None = None,
+        in_cents: bool = False,
         spark: SparkSession | None = None,
     ):
         self.transactions_path = transactions_path
         self.merchants_path = merchants_path
         self.use_hive = use_hive
         self.database = database
-        self.amount_scale = amount_scale
+        self.in_cents = in_cents
         self.spark = spark or create_session(catalog=use_hive, conf=spark_config)
         self._owns_session = spark is None
         self._cube: SalesCube | None = None
@@ -135,7 +135,7 @@ class SparkJob:
         """Sales totals of the whole input, computed on first use."""
         if self._cube is None:
             self._cube = SalesCube(self.spark).build(
-                self.transactions(), self.merchants(), self.amount_scale
+                self.transactions(), self.merchants(), in_cents=self.in_cents
             )
             _title("DATA")
             insights.dataset_profile(self._cube.by_merchant).show(truncate=False)

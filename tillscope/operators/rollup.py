@@ -6,7 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillscope.functions import measures as m
 from tillscope.operators.cleaning import known_category, known_name, unique_merchants
@@ -25,21 +24,14 @@ def key_column(df: DataFrame, key: str) -> Column:
     return F.col(key)
 
 
-def money_total(df: DataFrame, scale: int | None) -> Column:
-    """Sum of money: exact when ``scale`` names the number of decimals it has."""
-    if scale is None or m.is_totals(df) or isinstance(df.schema["purchase_amount"].dataType, T.DecimalType):
-        return m.total(df)
-    return m.exact_total_of_amounts("purchase_amount", scale)
-
-
-def roll_up(sales: DataFrame, keys: Iterable[str], *, scale: int | None = None) -> DataFrame:
+def roll_up(sales: DataFrame, keys: Iterable[str], *, in_cents: bool = False) -> DataFrame:
     """Sales totals by ``keys``; partial sums are formed before the shuffle.
 
     A merchant holding a third of all sales therefore reaches its reducer as a handful of
     partial sums per map task, and the join that follows sees one row per group.
     """
     return sales.groupBy(*[key_column(sales, k) for k in keys]).agg(
-        money_total(sales, scale).alias(m.TOTAL), m.sales(sales).alias(m.COUNT)
+        *m.totals(sales, in_cents=in_cents)
     )
 
 
@@ -55,7 +47,8 @@ def attach_merchants(totals: DataFrame, merchants: DataFrame) -> DataFrame:
 
 
 def merchant_totals(
-    sales: DataFrame, merchants: DataFrame, keys: Iterable[str] = (), *, scale: int | None = None
+    sales: DataFrame, merchants: DataFrame, keys: Iterable[str] = (), *, in_cents: bool = False
 ) -> DataFrame:
     """Sales totals by merchant and ``keys``, with name, city and state attached."""
-    return attach_merchants(roll_up(sales, ["merchant_id", *keys], scale=scale), merchants)
+    totals = roll_up(sales, ["merchant_id", *keys], in_cents=in_cents)
+    return attach_merchants(totals, merchants)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.functions import measures as m
-from tillscope.operators.rollup import attach_merchants, key_column, money_total
+from tillscope.operators.rollup import attach_merchants, key_column
 from tillscope.session import shared_folder
 
 MERCHANT_SIDE = ("merchant_id", "year", "month", "category")
@@ -22,14 +22,13 @@ CALENDAR_SIDE = ("year", "month", "hour", "category", "installments")
 _KEYS = ("merchant_id", "year", "month", "hour", "category", "installments")
 
 
-def sales_totals(transactions: DataFrame, merchants: DataFrame, scale: int | None = None) -> DataFrame:
+def sales_totals(transactions: DataFrame, merchants: DataFrame, *, in_cents: bool = False) -> DataFrame:
     """Totals of both sides, told apart by ``side``, with merchants attached."""
     keyed = transactions.select(
         *[key_column(transactions, k).alias(k) for k in _KEYS], "purchase_amount"
     )
     both = keyed.groupingSets([list(MERCHANT_SIDE), list(CALENDAR_SIDE)], *_KEYS).agg(
-        money_total(keyed, scale).alias(m.TOTAL),
-        m.sales(keyed).alias(m.COUNT),
+        *m.totals(keyed, in_cents=in_cents),
         F.when(F.grouping("merchant_id") == 1, "calendar").otherwise("merchant").alias("side"),
     )
     return attach_merchants(both, merchants)
@@ -47,17 +46,20 @@ class SalesCube:
         self.database = f"tillscope_work_{name}"
         self._built = False
 
-    def build(self, transactions: DataFrame, merchants: DataFrame, scale: int | None = None) -> SalesCube:
+    def build(
+        self, transactions: DataFrame, merchants: DataFrame, *, in_cents: bool = False
+    ) -> SalesCube:
         folder = f"{shared_folder(self.spark)}/{self.database}"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{folder}'")
-        totals = sales_totals(transactions, merchants, scale)
+        totals = sales_totals(transactions, merchants, in_cents=in_cents)
         totals.write.mode("overwrite").partitionBy("side").saveAsTable(f"{self.database}.sales_totals")
         self._built = True
         return self
 
     def _side(self, side: str, keys: tuple[str, ...]) -> DataFrame:
         table = self.spark.table(f"{self.database}.sales_totals").where(F.col("side") == side)
-        return table.select(*keys, m.TOTAL, m.COUNT)
+        money = m.CENTS if m.CENTS in table.columns else m.TOTAL
+        return table.select(*keys, money, m.COUNT)
 
     @property
     def by_merchant(self) -> DataFrame:

@@ -64,18 +64,14 @@ def order_totals(spark: SparkSession, folder: str) -> DataFrame:
     Lines are summed by order before they meet ``orders``: a very long order arrives as
     partial sums, and on a cluster the sums are already partitioned for the join.
     """
-    lines = (
-        _table(spark, folder, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(
-            m.exact_total_of_amounts("l_extendedprice", 2).alias(m.TOTAL),
-            F.count(F.lit(1)).alias(m.COUNT),
-        )
+    lines = _table(spark, folder, "lineitem")
+    per_order = lines.groupBy("l_orderkey").agg(
+        *m.totals(lines, in_cents=True, amount="l_extendedprice")
     )
     orders = _table(spark, folder, "orders")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
-        *[column.alias(name) for name, column in _order_columns().items()], m.TOTAL, m.COUNT
+        *[column.alias(name) for name, column in _order_columns().items()], m.CENTS, m.COUNT
     )
 
 
