@@ -74,9 +74,13 @@ def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sample_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """First five cleaned rows (the feature is a five-row sample), in a repeatable order."""
-    cleaned = _cleaned(spark, folder)
-    return cleaned.orderBy("purchase_date", "merchant_id", "installments", "purchase_amount").limit(5)
+    """First five cleaned rows (the feature is a five-row sample), in a repeatable order.
+
+    Cleaning keeps every sale once, so the five are picked first and cleaned alone.
+    """
+    order = ("purchase_date", "merchant_id", "installments", "purchase_amount")
+    first = star.transactions(spark, folder).orderBy(*order).limit(5)
+    return clean(first, star.merchants(spark, folder)).orderBy(*order)
 
 
 def queries() -> dict[str, Query]:

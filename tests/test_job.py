@@ -123,9 +123,19 @@ def test_spark_settings():
         ["-t", "a", "-m", "b", "--spark-master", "local[1]", "--spark-executor-memory", "3g", "run-all"]
     )
     assert args.use_hive
-    assert cli.spark_settings(args) == {
-        "spark.executor.memory": "3g", "spark.executor.cores": "2", "spark.master": "local[1]",
-    }
+    assert cli.spark_settings(args) == {"spark.executor.memory": "3g", "spark.master": "local[1]"}
+
+
+def test_shuffles_grow_with_the_input(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        session.size_shuffles(spark, spark.range(10, numPartitions=2))
+        assert spark.conf.get(key) == before
+        session.size_shuffles(spark, spark.range(10, numPartitions=50))
+        assert spark.conf.get(key) == "25"
+    finally:
+        spark.conf.set(key, before)
 
 
 def test_shared_folder_is_the_clusters(spark):
@@ -135,7 +145,7 @@ def test_shared_folder_is_the_clusters(spark):
 def test_session_conf_overrides_defaults(spark):
     """Settings reach the session; the running one is reused here."""
     key = "spark.sql.shuffle.partitions"
-    before = {k: spark.conf.get(k, None) for k in session.DEFAULT_CONF}
+    before = {k: spark.conf.get(k, None) for k in (*session.DEFAULT_CONF, key)}
     try:
         again = session.create_session(conf={key: "3"})
         assert again.conf.get(key) == "3"

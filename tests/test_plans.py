@@ -1,0 +1,67 @@
+"""What the optimizer makes of the queries: read little, shuffle little, stay in the JVM."""
+
+import os
+import re
+
+import pytest
+
+import __spark_entry__ as driver
+
+FOLDER = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_static_broadcast(spark):
+    """Plan as for tables too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_no_python_no_cross_join(spark, name):
+    plan = plan_of(driver.queries()[name](spark, FOLDER))
+    assert not re.search("Python|Arrow|MapInPandas|CartesianProduct|NestedLoop", plan)
+
+
+def test_scans_read_only_what_is_used(spark):
+    plan = plan_of(driver.queries()["hourly_sales_patterns"](spark, FOLDER))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double>" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+    assert "customer" not in plan
+    assert "PushedFilters: [IsNotNull(o_orderkey)]" in plan
+
+
+def test_top_n_is_cut_before_the_shuffle(spark):
+    for name in ("top_merchants_by_month_city", "popular_merchants_by_city", "top_hours_by_category"):
+        plan = plan_of(driver.queries()[name](spark, FOLDER))
+        assert re.search(r"WindowGroupLimit .*, Partial", plan), name
+
+
+def test_global_top_k(spark):
+    for name in ("recommendation_top_cities", "top_average_merchants", "peak_business_hours"):
+        assert "TakeOrderedAndProject" in plan_of(driver.queries()[name](spark, FOLDER)), name
+
+
+def test_ranking_reuses_the_aggregated_shuffle(spark):
+    """Both branches of a spread ranking read one aggregate; sales are scanned once."""
+    df = driver.queries()["popular_merchants_by_city"](spark, FOLDER)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert final.count("FileScan parquet [l_orderkey") == 1
+
+
+def test_large_tables_shuffle_once_per_join(spark, no_static_broadcast):
+    """Order sums come out of their aggregate already partitioned for the join to orders."""
+    plan = plan_of(driver.queries()["monthly_sales_trends"](spark, FOLDER))
+    assert "SortMergeJoin [l_orderkey" in plan
+    # Lines by order, orders by order, months; one more for the output order.
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert plan.count("Exchange rangepartitioning") == 1

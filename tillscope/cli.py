@@ -33,8 +33,8 @@ def build_parser() -> argparse.ArgumentParser:
     parser.add_argument("--task", choices=[*TASKS, "all"], help="task to run, instead of a command")
     parser.add_argument("-o", "--output", help=f"folder of the results ({REPORTS})")
     parser.add_argument("--spark-master", help="such as local[4] or spark://host:port")
-    parser.add_argument("--spark-executor-memory", default="2g")
-    parser.add_argument("--spark-executor-cores", default="2")
+    parser.add_argument("--spark-executor-memory", help="such as 8g (default: the cluster's)")
+    parser.add_argument("--spark-executor-cores", help="default: the cluster's")
 
     commands = parser.add_subparsers(dest="command")
     for number in ("1", "2", "3"):
@@ -57,13 +57,12 @@ def _default(task: str, index: int) -> str:
 
 
 def spark_settings(args: argparse.Namespace) -> dict[str, str]:
-    settings = {
+    given = {
+        "spark.master": args.spark_master,
         "spark.executor.memory": args.spark_executor_memory,
         "spark.executor.cores": args.spark_executor_cores,
     }
-    if args.spark_master:
-        settings["spark.master"] = args.spark_master
-    return settings
+    return {key: value for key, value in given.items() if value}
 
 
 def execute(job: SparkJob, args: argparse.Namespace) -> None:

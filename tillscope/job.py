@@ -11,7 +11,7 @@ from tillscope.functions.measures import as_double
 from tillscope.operators.cleaning import clean
 from tillscope.plans import insights, results
 from tillscope.plans.cube import SalesCube
-from tillscope.session import create_session
+from tillscope.session import create_session, size_shuffles
 from tillscope.sinks.catalog import DATABASE, write_layers, write_table
 from tillscope.sinks.files import save_results
 from tillscope.sources.files import load_merchants, load_transactions
@@ -134,12 +134,12 @@ class SparkJob:
     def totals(self) -> SalesCube:
         """Sales totals of the whole input, computed on first use."""
         if self._cube is None:
-            self._cube = SalesCube(self.spark).build(
-                self.transactions(), self.merchants(), in_cents=self.in_cents
-            )
+            sales = self.transactions()
+            size_shuffles(self.spark, sales)
+            self._cube = SalesCube(self.spark).build(sales, self.merchants(), in_cents=self.in_cents)
             _title("DATA")
             insights.dataset_profile(self._cube.by_merchant).show(truncate=False)
-            _show("Sample rows", self.transactions(), 5)
+            _show("Sample rows", clean(sales.limit(5), self.merchants()), 5)
         return self._cube
 
     # --- tasks --------------------------------------------------------------------------

@@ -12,8 +12,8 @@ from tillscope.schema import CLEANED_COLUMNS
 UNKNOWN_CATEGORY = "Unknown category"
 
 #: Largest dimension that is sent whole to every executor by the row-level join.
-BROADCAST_MAX_ROWS = 4_000_000
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def known_category(category: str = "category") -> Column:

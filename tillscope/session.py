@@ -6,21 +6,24 @@ import os
 import tempfile
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 APP_NAME = "MerchantAnalytics"
 
-# Hour and month are read in the session's zone, so the zone is pinned.
-# Skewed sort-merge joins are split at run time; small shuffles are merged.
+# Hour and month are read in the session's zone, so the zone is pinned. Skewed joins are
+# split at run time; small shuffle partitions are merged. How many partitions, how much
+# memory: that is for the cluster's own settings, which nothing here overrides.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.shuffle.partitions": "200",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: Most shuffle partitions :func:`size_shuffles` asks for.
+MAX_SHUFFLE_PARTITIONS = 20_000
+
 
 def create_session(
     app_name: str = APP_NAME,
@@ -70,3 +73,15 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="tillscope-")
+
+
+def size_shuffles(spark: SparkSession, source: DataFrame) -> None:
+    """Raise the number of shuffle partitions to suit the size of ``source``.
+
+    One for every two read tasks, never fewer than configured. Asking for too many costs
+    little, as adaptive execution merges what turns out small; too few would spill.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    wanted = min(source.rdd.getNumPartitions() // 2, MAX_SHUFFLE_PARTITIONS)
+    if wanted > int(spark.conf.get(setting)):
+        spark.conf.set(setting, str(wanted))
