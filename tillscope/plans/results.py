@@ -49,7 +49,7 @@ CALENDAR_KEYS: dict[str, tuple[str, ...]] = {
 def top_merchants_by_month_city(sales: DataFrame, n: int = 5) -> DataFrame:
     """Best merchants of each city and month by money taken, then by number of sales."""
     monthly = sales.groupBy(m.year_of(sales), m.month_of(sales), "city_id", "merchant_name").agg(
-        m.total(sales).alias("purchase_total"), m.sales(sales).alias("no_of_sales")
+        m.raw_total(sales).alias("purchase_total"), m.sales(sales).alias("no_of_sales")
     )
     best = top_ranked(
         monthly,
@@ -63,7 +63,7 @@ def top_merchants_by_month_city(sales: DataFrame, n: int = 5) -> DataFrame:
         labels.month_name("year", "month").alias("month"),
         "city_id",
         "merchant_name",
-        F.round("purchase_total", 2).alias("purchase_total"),
+        F.round(m.money(sales, "purchase_total"), 2).alias("purchase_total"),
         "no_of_sales",
     )
 
