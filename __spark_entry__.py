@@ -14,6 +14,12 @@ from tillscope.operators.rollup import merchant_totals, roll_up
 from tillscope.plans import insights, results
 from tillscope.sources import star
 
+try:
+    import corpus_pipeline
+    from tillscope.llm import queries as training_text
+except ImportError:  # the training-text part may be left out
+    corpus_pipeline = training_text = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 # Fixed value: the moment the quality report calls "now"; some test orders lie after it.
 REPORT_TIME = "2001-01-01 00:00:00"
@@ -136,7 +142,14 @@ def queries() -> dict[str, Query]:
         "sample_rows": _sample_rows,
         "data_quality_report": _data_quality,
     }
-    return {**tables, **figures, **layers}
+    return {**tables, **figures, **layers, **_training_text()}
+
+
+def _training_text() -> dict[str, Query]:
+    """Queries of the training-text operators and their pipeline, where they are installed."""
+    if training_text is None:
+        return {}
+    return {**training_text.QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -365,4 +378,9 @@ SELECT "check", failing_rows FROM (
 UNION ALL
 SELECT 'duplicate_merchant_id', count(*) - count(DISTINCT merchant_id) FROM merchants""",
     }
-    return {name: f"WITH {text.strip()}" for name, text in sql.items()}
+    checked = {name: f"WITH {text.strip()}" for name, text in sql.items()}
+    if training_text is not None:
+        checked.update(training_text.ORACLE_SQL)
+        if corpus_pipeline.ORACLE_SQL is not None:
+            checked["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return checked
