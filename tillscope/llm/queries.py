@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.llm import exact_dedup, mixing
+from tillscope.llm import exact_dedup, mixing, near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,12 +19,17 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, folder))
 
 
+def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, folder))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicate_once(documents(spark, folder))
 
 
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
+    "op2_near_dedup": op2_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
 }
 
@@ -103,6 +108,29 @@ WITH sizes AS (
 SELECT doc_id, size, source_size, target,
        CAST(rounds * size + least(stop, front) - least(stop - size, front) AS BIGINT) AS taken
 FROM cut""",
+    "op2_near_dedup": f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{exact_dedup.UPPER}',
+           '{exact_dedup.UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM split
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingle AS x JOIN shingle AS y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM shared JOIN sizes AS p ON p.doc_id = a JOIN sizes AS q ON q.doc_id = b
+  WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reach AS (
+  SELECT a AS doc_id, a AS other FROM link
+  UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.other = link.a
+), component AS (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id,
+       d.doc_id = coalesce(c, d.doc_id) AS kept
+FROM documents AS d LEFT JOIN sizes USING (doc_id) LEFT JOIN component USING (doc_id)""",
     "op5_exact_dedup": f"""
 WITH rows AS (
   SELECT doc_id,
