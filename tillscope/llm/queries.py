@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.llm import exact_dedup, mixing, near_dedup
+from tillscope.llm import exact_dedup, language_id, mixing, near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,10 +27,15 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicate_once(documents(spark, folder))
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.predict_languages(documents(spark, folder))
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_near_dedup": op2_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_language_id": op7_language_id,
 }
 
 # SQL for the operators that SQL can express on whole tables.
