@@ -1,6 +1,57 @@
-"""Placeholder until all stages exist."""
-from tillscope.llm import queries  # noqa: F401
-STAGES = []
+"""A corpus made ready for training: five operators, each over all that the one before kept."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tillscope.llm import decontamination, exact_dedup, language_id, mixing, near_dedup
+from tillscope.llm.storage import stored
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in an identifiable language."""
+    return language_id.identified(docs)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    return exact_dedup.without_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dedup.one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the mix, with the number of words it takes of each."""
+    return mixing.mixed_documents(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("source_mix", mix),
+]
+
+# Language identification and alignment are learned or iterative; SQL cannot express them.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, applied to the documents; each result is written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return docs

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.llm.grouping import with_group_totals
-from tillscope.llm.storage import checkpointed
+from tillscope.llm.storage import checkpointed, free_name
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -120,12 +120,12 @@ def without_copies(docs: DataFrame) -> DataFrame:
 
     Rows are matched to their fate by doc_id and digest; of rows repeated in both, one stays.
     """
+    node, digest, own = (free_name(docs, n) for n in ("kept_id", "kept_digest", "own_digest"))
     fate = deduplicate_once(docs).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")
+        F.col("doc_id").alias(node), F.col("text_sha256").alias(digest)
     )
-    marked = docs.withColumn("_own_digest", digest_hex(F.col("text")))
+    marked = docs.withColumn(own, digest_hex(F.col("text")))
     once = marked.join(
-        fate, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own_digest") == F.col("_digest")),
-        "left_semi",
+        fate, F.col("doc_id").eqNullSafe(F.col(node)) & (F.col(own) == F.col(digest)), "left_semi"
     )
-    return once.dropDuplicates(["doc_id", "_own_digest"]).select(*docs.columns)
+    return once.dropDuplicates(["doc_id", own]).select(*docs.columns)

@@ -60,21 +60,12 @@ def predict_languages(docs: DataFrame) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crf = LanguageCrf(*model.value)
-        names = np.array([*crf.labels, UNKNOWN], dtype=object)
         for batch in batches:
-            texts = batch.column("text")
-            for start, stop, _, _ in pieces(*utf8(texts)):
-                shares = crf.document_shares(texts.slice(start, stop - start))
-                blank = np.isnan(shares).all(axis=1) if crf.labels else np.ones(stop - start, bool)
-                filled = np.where(np.isnan(shares), 0.0, shares)
-                best = filled.argmax(axis=1) if crf.labels else np.zeros(stop - start, int)
-                score = filled.max(axis=1, initial=0.0)
-                best[blank] = len(crf.labels)
-                part = batch.slice(start, stop - start)
+            for part, names, scores in _named(crf, batch):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"), part.column("held_out"),
-                        pa.array(names[best], pa.string()), pa.array(np.minimum(score, 1.0)),
+                        pa.array(names, pa.string()), pa.array(scores),
                     ],
                     names=["doc_id", "held_out", "lang_pred", "score"],
                 )
@@ -89,12 +80,35 @@ def _parts(model: LanguageCrf) -> tuple:
     return model.labels, model.weights, model.moves
 
 
+def _named(crf: LanguageCrf, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Pieces of a batch with the language and score of each row's ``text``."""
+    labels = np.array([*crf.labels, UNKNOWN], dtype=object)
+    texts = batch.column("text")
+    for start, stop, _, _ in pieces(*utf8(texts)):
+        shares = crf.document_shares(texts.slice(start, stop - start))
+        # A column for "none" wins where there are no words to share out.
+        shares = np.column_stack([shares, np.zeros(stop - start)])
+        blank = np.isnan(shares).any(axis=1) | (not crf.labels)
+        best = np.where(blank, len(crf.labels), np.nan_to_num(shares).argmax(axis=1))
+        scores = np.where(blank, 0.0, np.minimum(np.nan_to_num(shares).max(axis=1), 1.0))
+        yield batch.slice(start, stop - start), labels[best], scores
+
+
 def identified(docs: DataFrame) -> DataFrame:
-    """Documents in one identifiable language; the others are rejected.
+    """Documents in one identifiable language, columns as they were; the others are rejected.
 
-    Rejected are texts without a letter and those of which no language has half the words.
+    Rejected are texts without a letter and those of which no language has half the words. Where
+    no document is labelled, nothing can be told apart and all documents stay.
     """
-    rejected = predict_languages(docs).where(
-        (F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SHARE)
-    ).select(F.col("doc_id").alias("_id"))
-    return docs.join(rejected.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    fitted = fit(docs)
+    if not fitted.labels:
+        return docs
+    model = docs.sparkSession.sparkContext.broadcast(_parts(fitted))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crf = LanguageCrf(*model.value)
+        for batch in batches:
+            for part, names, scores in _named(crf, batch):
+                yield part.filter(pa.array((names != UNKNOWN) & (scores >= LEAST_SHARE)))
+
+    return docs.mapInArrow(sift, docs.schema)

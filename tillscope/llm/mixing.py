@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillscope.llm.storage import checkpointed
+from tillscope.llm.storage import checkpointed, free_name
 
 # A word is a run of characters other than these; weights repeat over sources.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -170,10 +170,11 @@ def mix_sources(docs: DataFrame, total_share: float = 1.5, seed: str = "mix") ->
 def mixed_documents(docs: DataFrame, total_share: float = 1.5) -> DataFrame:
     """Documents with a part in the mix, with ``taken`` words each (repeats counted).
 
-    Other columns stay as they are. Rows that share a doc_id share what the id takes in all.
+    Other columns stay as they are; if one is named ``taken``, the new one has ``_`` added. Rows that share a doc_id share what the id takes in all.
     """
-    shares = mix_sources(docs, total_share).groupBy("doc_id").agg(F.sum("taken").alias("taken"))
-    return docs.select(*[c for c in docs.columns if c != "taken"]).join(
-        shares.select(F.col("doc_id").alias("_id"), "taken"),
-        F.col("doc_id").eqNullSafe(F.col("_id")),
-    ).where("taken > 0").drop("_id")
+    node, taken = free_name(docs, "mixed_id"), free_name(docs, "taken")
+    shares = mix_sources(docs, total_share).groupBy("doc_id").agg(F.sum("taken").alias(taken))
+    return docs.join(
+        shares.where(F.col(taken) > 0).select(F.col("doc_id").alias(node), taken),
+        F.col("doc_id").eqNullSafe(F.col(node)),
+    ).drop(node)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tillscope.llm import setsketch
 from tillscope.llm.grouping import connected_components, with_group_totals
-from tillscope.llm.storage import checkpointed
+from tillscope.llm.storage import checkpointed, free_name
 from tillscope.llm.textarrays import mix, pieces, shingles, utf8, words
 
 # Words of a shingle, and the least similarity in per cent.
@@ -209,5 +209,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents that stay, one of each component, with their columns as they were."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    node = free_name(docs, "gone_id")
+    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias(node)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(node), "left_anti")

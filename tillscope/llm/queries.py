@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.llm import exact_dedup, language_id, mixing, near_dedup
+from tillscope.llm import decontamination, exact_dedup, language_id, mixing, near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,11 +31,17 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict_languages(documents(spark, folder))
 
 
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontamination.contaminated(documents(spark, folder), items)
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_near_dedup": op2_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_language_id": op7_language_id,
+    "op10_decontamination": op10_decontamination,
 }
 
 # SQL for the operators that SQL can express on whole tables.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +31,20 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     """``frame`` computed once and kept in the shared folder, safe from lost executors."""
     use_checkpoint_dir(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+def free_name(frame: DataFrame, stem: str) -> str:
+    """A column name that ``frame`` has not got, whatever the case of its letters."""
+    taken = {name.lower() for name in frame.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` written as Parquet to a new place in the shared folder, and read again."""
+    spark = frame.sparkSession
+    use_checkpoint_dir(spark)
+    place = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(place)
+    return spark.read.parquet(place)

@@ -112,14 +112,18 @@ def words(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray = PLAIN_WORDS
     return mix(sums), starts, np.searchsorted(starts, offsets)
 
 
-def shingles(hashes: np.ndarray, first: np.ndarray, width: int) -> Iterator[np.ndarray]:
-    """Sorted distinct shingles of each text; a text of fewer words has one, without words none."""
-    n = len(hashes)
-    factor, rolled = 1, np.zeros(max(0, n - width + 1), np.uint64)
+def ngrams(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the ``width`` words from each word on, across text borders."""
+    factor, rolled = 1, np.zeros(max(0, len(hashes) - width + 1), np.uint64)
     for k in range(width):
         rolled += hashes[k : k + len(rolled)] * np.uint64(factor)
         factor = factor * 0xD6E8FEB86659FD93 % _WRAP
-    rolled = mix(rolled, 1)
+    return mix(rolled, 1)
+
+
+def shingles(hashes: np.ndarray, first: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """Sorted distinct shingles of each text; a text of fewer words has one, without words none."""
+    rolled = ngrams(hashes, width)
     for low, high in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         count = high - low
         if count >= width:
