@@ -31,18 +31,21 @@ def fit(docs: DataFrame) -> LanguageCrf:
     doc_id and text, and of a longer one a stretch of ``TRAIN_CHARACTERS`` at a place the
     hash decides.
     """
-    labelled = docs.where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(4) != 2)
-    ).select("lang", "text", F.xxhash64("doc_id", "text").alias("draw"))
-    first = Window.partitionBy("lang").orderBy("draw", F.length("text"))
-    chosen = labelled.withColumn("place", F.row_number().over(first)).where(
-        F.col("place") <= TRAIN_DOCUMENTS
-    )
+    usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(4) != 2)
+    labelled = docs.where(usable).select("lang", "text", F.xxhash64("doc_id", "text").alias("draw"))
+    counts = labelled.groupBy("lang").count()
+    # A first cut by the hash leaves several times the bound, so that little is ranked.
+    share = F.least(F.lit(1.0), F.lit(4.0 * TRAIN_DOCUMENTS) / F.col("count"))
+    near = labelled.join(counts.select(F.col("lang").alias("_lang"), share.alias("share")), F.col("lang") == F.col("_lang"))
+    near = near.where(F.col("draw") / F.lit(2.0**63) <= 2 * F.col("share") - 1)
     spare = F.greatest(F.lit(1), F.length("text") - TRAIN_CHARACTERS + 1)
-    rows = chosen.select(
-        "lang", F.substring("text", F.pmod("draw", spare).cast("int") + 1, F.lit(TRAIN_CHARACTERS)).alias("text"),
-        "draw",
-    ).collect()
+    stretch = F.substring("text", F.pmod("draw", spare).cast("int") + 1, F.lit(TRAIN_CHARACTERS))
+    first = Window.partitionBy("lang").orderBy("draw", "text")
+    rows = (
+        near.select("lang", stretch.alias("text"), "draw")
+        .withColumn("place", F.row_number().over(first))
+        .where(F.col("place") <= TRAIN_DOCUMENTS).collect()
+    )
     rows = sorted(rows, key=lambda r: (r["lang"], r["draw"]))
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 

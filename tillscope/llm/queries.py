@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.llm import decontamination, exact_dedup, language_id, mixing, near_dedup
+from tillscope.llm import (
+    decontamination, exact_dedup, language_id, mixing, near_dedup, substring_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +25,10 @@ def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, folder))
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(documents(spark, folder))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicate_once(documents(spark, folder))
 
@@ -39,6 +45,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_near_dedup": op2_near_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_language_id": op7_language_id,
     "op10_decontamination": op10_decontamination,
