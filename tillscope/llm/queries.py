@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.llm import (
-    decontamination, exact_dedup, language_id, mixing, near_dedup, substring_dedup,
+    decontamination, exact_dedup, language_id, lm_scoring, mixing, near_dedup, substring_dedup,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(spark, folder))
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_documents(documents(spark, folder))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicate_once(documents(spark, folder))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_near_dedup": op2_near_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_language_id": op7_language_id,
     "op10_decontamination": op10_decontamination,

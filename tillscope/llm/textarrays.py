@@ -79,11 +79,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of whole texts of about ``PIECE_BYTES``: first text, last text + 1, bytes, offsets."""
+def pieces(
+    data: np.ndarray, offsets: np.ndarray, size: int = PIECE_BYTES
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of whole texts of about ``size`` bytes: first text, last text + 1, bytes, offsets."""
     first, n = 0, len(offsets) - 1
     while first < n:
-        stop = int(np.searchsorted(offsets, offsets[first] + PIECE_BYTES, side="right")) - 1
+        stop = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
         stop = min(max(stop, first + 1), n)
         low, high = offsets[first], offsets[stop]
         yield first, stop, data[low:high], offsets[first : stop + 1] - low
