@@ -7,9 +7,11 @@
    the number of pairs is that of the members, however large a bucket is. Pairs whose likely
    similarity (from registers and sizes) is far too small go; the rest is confirmed on the
    full sets of the texts.
-3. The links found so far join documents into components. Members of one bucket in different
-   components have not all been compared; these pairs alone are listed and tested likewise,
-   so no pair of a bucket is left out.
+3. The links found so far join documents into components. Members of a bucket that lie in
+   different components have not all been compared. For these documents alone the rest is
+   found exactly: ordered from the rarest shingle on, two similar sets share one of their first
+   few, at a place that leaves room for enough others. So a large group whose members are
+   nearly, but not quite, similar enough yields few pairs instead of all.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillscope.llm import setsketch
@@ -116,8 +118,34 @@ def _shingle_set(text: pa.Array) -> np.ndarray:
     return next(shingles(hashes, first, WIDTH))
 
 
-def _similar(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` that are confirmed."""
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = utf8(batch.column("text"))
+        for start, stop, part, at in pieces(data, offsets):
+            hashes, _, first = words(part, at)
+            sets = list(shingles(hashes, first, WIDTH))
+            sizes = np.array([len(x) for x in sets])
+            row = pa.array(np.repeat(np.arange(start, stop), sizes))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(row), batch.column("component").take(row),
+                    pa.array(np.repeat(sizes, sizes).astype(np.int32)),
+                    pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)),
+                ],
+                names=["doc_id", "component", "n", "shingle"],
+            )
+
+
+def _bodies(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` that hold on the full sets."""
+    body = {x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"}
+    return checkpointed(
+        pairs.join(body["b"], "b").join(body["a"], "a").mapInArrow(_confirmed, "a long, b long").distinct()
+    )
+
+
+def _star_links(stars: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs of ``stars`` that are similar; what cannot be is dropped by sizes and registers."""
     side = {
         x: sketches.select(
             F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"),
@@ -125,17 +153,57 @@ def _similar(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFra
         )
         for x in "ab"
     }
-    sized = pairs.join(side["a"].drop("registers_a"), "a").join(side["b"].drop("registers_b"), "b").where(
+    likely = stars.join(side["b"], "b").join(side["a"], "a").where(
         100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
-    ).select("a", "b")
-    likely = checkpointed(
-        sized.join(side["b"], "b").join(side["a"], "a")
-        .mapInArrow(_likely, "a long, b long")
+    ).mapInArrow(_likely, "a long, b long")
+    return _bodies(checkpointed(likely.distinct()), texts)
+
+
+def _rest(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Similar pairs of documents of different components: ``open_docs`` has ``doc_id``, ``component``.
+
+    Shingles are ordered by how many of these documents have them, then by hash. With x the smaller
+    set of a pair, the common part is at least 6/7 of x and 3/4 of the larger y (from
+    3/7 of both sizes), so it reaches into the first n - 6n/7 + 1 of x and n - 3n/4 + 1 of y.
+    """
+    rows = texts.join(open_docs, "doc_id").mapInArrow(
+        _shingle_rows, "doc_id long, component long, n int, shingle long"
     )
-    body = {x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"}
-    return checkpointed(
-        likely.join(body["b"], "b").join(body["a"], "a").mapInArrow(_confirmed, "a long, b long")
+    common = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    of_doc = Window.partitionBy("doc_id", "n")
+    # Shingles of one document alone come first in its order and lead to no partner.
+    place = F.col("n") - F.count("*").over(of_doc) + F.row_number().over(of_doc.orderBy("df", "shingle"))
+    rise, both = F.lit(PERCENT), F.lit(100 + PERCENT)
+    prefix = checkpointed(
+        rows.join(common, "shingle").select("doc_id", "component", "n", "shingle", place.alias("place"))
+        .where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * rise / 100) + 1)
+    )
+    # Entries of the component most frequent at a shingle need not meet one another.
+    homes = prefix.groupBy("shingle", "component").count().groupBy("shingle").agg(
+        F.max_by("component", F.struct("count", "component")).alias("home"), F.count("*").alias("kinds")
+    ).where("kinds > 1")
+    at_mixed = prefix.join(homes, "shingle")
+    left = at_mixed.where("component <> home").select(
+        "shingle", *[F.col(c).alias(f"{c}_l") for c in ("doc_id", "component", "n", "place")]
+    )
+    right = at_mixed.select(
+        "shingle", *[F.col(c).alias(f"{c}_r") for c in ("doc_id", "component", "n", "place")]
+    )
+    least_common = F.ceil((F.col("n_l") + F.col("n_r")) * rise / both)
+    room = 1 + F.least(F.col("n_l") - F.col("place_l"), F.col("n_r") - F.col("place_r"))
+    left_is_smaller = F.struct("n_l", "doc_id_l") < F.struct("n_r", "doc_id_r")
+    smaller_n = F.when(left_is_smaller, F.col("n_l")).otherwise(F.col("n_r"))
+    smaller_place = F.when(left_is_smaller, F.col("place_l")).otherwise(F.col("place_r"))
+    pairs = left.join(right, "shingle").where(
+        (F.col("component_l") != F.col("component_r"))
+        & (100 * F.least("n_l", "n_r") >= rise * F.greatest("n_l", "n_r"))
+        & (smaller_place <= smaller_n - F.ceil(smaller_n * 2 * rise / both) + 1)
+        & (room >= least_common)
     )
+    pairs = pairs.select(
+        F.least("doc_id_l", "doc_id_r").alias("a"), F.greatest("doc_id_l", "doc_id_r").alias("b")
+    ).distinct()
+    return _bodies(pairs, texts)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -166,37 +234,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = checkpointed(bands.join(shared, "band"))
     ids = members.select("doc_id").distinct()
     texts = checkpointed(docs.select("doc_id", "text").join(ids, "doc_id"))
-    near = sketches.select("doc_id", "n_shingles", "registers").join(ids, "doc_id")
-    near = checkpointed(near)
-    stars = checkpointed(
-        members.where("doc_id > least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
-    )
-    links = _similar(stars, near, texts).distinct()
-    so_far = checkpointed(connected_components(links))
+    stars = members.where("doc_id > least").select(
+        F.col("least").alias("a"), F.col("doc_id").alias("b")
+    ).distinct()
+    links = _star_links(stars, sketches, texts)
+    so_far = connected_components(links)
     placed = members.select("band", "doc_id").join(
         so_far.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"
     ).select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    placed = checkpointed(
-        placed.join(mixed.where("lo < hi").select("band"), "band")
-        .join(near.select("doc_id", "n_shingles"), "doc_id")
-    )
-    left = placed.select("band", *[F.col(c).alias(f"{c}_a") for c in ("doc_id", "component", "n_shingles")])
-    right = placed.select("band", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "component", "n_shingles")])
-    across = left.join(right, "band").where(
-        "doc_id_a < doc_id_b and component_a <> component_b "
-        f"and 100 * least(n_shingles_a, n_shingles_b) >= {PERCENT} * greatest(n_shingles_a, n_shingles_b)"
-    ).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
-    across = across.join(stars, ["a", "b"], "left_anti")
-    more = _similar(checkpointed(across), near, texts).distinct()
+    open_docs = placed.join(mixed.where("lo < hi").select("band"), "band").select(
+        "doc_id", "component"
+    ).distinct()
+    more = _rest(checkpointed(open_docs), texts)
     # A doc_id with several texts lies in several classes and links them.
     spans = classes.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z"))
     bridges = classes.join(spans.where("a < z"), "doc_id").where("class_id > a").select(
         "a", F.col("class_id").alias("b")
     )
-    components = checkpointed(
-        connected_components(links.unionByName(more).unionByName(bridges))
-    )
+    components = connected_components(links.unionByName(more).unionByName(bridges))
     named = classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     named = named.join(
         components.select(F.col("node").alias("class_id"), "component"), "class_id", "left"
