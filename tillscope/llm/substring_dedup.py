@@ -83,7 +83,9 @@ def _candidates(shared: DataFrame) -> DataFrame:
         (F.col("kinds") > MAX_RUNS).alias("many"),
     )
     return marked.where("copied or sort").groupBy(*_KEY).agg(
-        F.collect_list(F.struct("start", "strings", "anchor", "copied", "sort", "many")).alias("runs")
+        F.collect_list(F.struct(
+            "start", "strings", F.when(F.col("sort"), F.col("anchor")).alias("anchor"), "copied", "sort", "many",
+        )).alias("runs")
     )
 
 
@@ -163,7 +165,8 @@ def _single_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _repeated_singles(affected: DataFrame) -> DataFrame:
-    each = affected.mapInArrow(
+    very_many = affected.where(F.exists("runs", lambda r: r["sort"] & r["many"]))
+    each = very_many.select(*_KEY, "text", "runs").mapInArrow(
         _single_strings, "id long, body int, start long, anchor long, string long, copied boolean"
     )
     again = each.groupBy("anchor", "string").count().where("count > 1").drop("count")
@@ -217,7 +220,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         # Bucketed by document, so that the texts are shuffled once and not again for the cut.
         (
             texts.select(*_KEY, "text").join(candidates, _KEY).repartition(buckets, *_KEY)
-            .write.format("parquet").bucketBy(buckets, *_KEY).saveAsTable(table)
+            .write.format("parquet").option("compression", "zstd").bucketBy(buckets, *_KEY).saveAsTable(table)
         )
         affected = spark.table(table)
         slices = affected.select(*_KEY, "text", "runs").mapInArrow(
