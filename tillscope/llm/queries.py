@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.llm import (
-    decontamination, exact_dedup, language_id, lm_scoring, mixing, near_dedup, substring_dedup,
+    decontamination, exact_dedup, language_id, lm_scoring, mixing, near_dedup, page_text,
+    pseudonyms, substring_dedup,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,10 +38,19 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicate_once(documents(spark, folder))
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return page_text.extract(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict_languages(documents(spark, folder))
 
 
+def op9_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """A fixed key, so that results repeat; a user keeps a secret one."""
+    return pseudonyms.pseudonymised(documents(spark, folder), "query")
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     return decontamination.contaminated(documents(spark, folder), items)
@@ -52,7 +62,9 @@ QUERIES: dict[str, Query] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_html_extraction": op6_html_extraction,
     "op7_language_id": op7_language_id,
+    "op9_pseudonyms": op9_pseudonyms,
     "op10_decontamination": op10_decontamination,
 }
 
