@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.llm import (
-    decontamination, exact_dedup, language_id, lm_scoring, mixing, near_dedup, page_text,
-    pseudonyms, substring_dedup,
+    decontamination, exact_dedup, importance, language_id, lm_scoring, mixing, near_dedup,
+    page_text, pseudonyms, substring_dedup,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict_languages(documents(spark, folder))
 
 
+def op8_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resampled(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def op9_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     """A fixed key, so that results repeat; a user keeps a secret one."""
     return pseudonyms.pseudonymised(documents(spark, folder), "query")
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_html_extraction": op6_html_extraction,
     "op7_language_id": op7_language_id,
+    "op8_importance_resampling": op8_importance_resampling,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_decontamination": op10_decontamination,
 }
