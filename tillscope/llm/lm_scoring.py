@@ -111,9 +111,20 @@ def _vocabulary(counts: DataFrame) -> tuple[Vocabulary, int, int, np.ndarray]:
     totals = {r["kind"]: (r["n"], r["words"]) for r in counts.groupBy("kind").agg(
         F.sum("n").alias("n"), F.count("*").alias("words")
     ).collect()}
-    top = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toArrow()
+    # The frequent words are those from a count on that few enough have; counts are compared by
+    # steps of a twelfth of a power of two, so only some hundred numbers are looked at.
+    step = F.floor(F.log2("n") * 12)
+    number, least = 0, 0
+    for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        number += row["count"]
+        if number > HEAD_WORDS:
+            least = row["step"] + 1
+            break
+    top = counts.where(step >= least).toArrow()
     hashes = top.column("word").to_numpy().view(np.uint64)
     numbers, kinds = top.column("n").to_numpy(), top.column("kind").to_numpy()
+    order = np.lexsort((hashes, -numbers))
+    hashes, numbers, kinds = hashes[order], numbers[order], kinds[order]
     rare = np.zeros(RARE_CLASSES)
     known = np.zeros(RARE_CLASSES)
     for kind, (n, distinct) in totals.items():
