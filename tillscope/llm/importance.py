@@ -21,7 +21,8 @@ BUCKETS = 1 << 16
 # How much of the ratio of the two models counts for a text, whatever its length: the mean
 # log ratio of its n-grams times this many n-grams.
 EFFECTIVE = 50.0
-# Added to every bucket's count.
+# Added to a bucket's count in good texts, and to what its count in all texts lets expect there:
+# a bucket hardly ever seen says little either way.
 SMOOTHING = 1.0
 # Unless told otherwise, as many documents are drawn as have at least this log weight.
 LIKELY = -8.0
@@ -89,13 +90,11 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     rows = marked.mapInArrow(_bucket_counts, "bucket long, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")
     ).collect()
-    counts = np.full((2, BUCKETS), SMOOTHING)
+    counts = np.zeros((2, BUCKETS))
     for row in rows:
-        counts[:, row["bucket"]] += row["raw"], row["target"]
-    if counts[1].sum() <= SMOOTHING * BUCKETS:
-        return np.zeros(BUCKETS)
-    chances = counts / counts.sum(axis=1, keepdims=True)
-    return np.log(chances[1]) - np.log(chances[0])
+        counts[:, row["bucket"]] = row["raw"], row["target"]
+    expected = counts[0] * (counts[1].sum() / max(counts[0].sum(), 1.0))
+    return np.log(counts[1] + SMOOTHING) - np.log(expected + SMOOTHING)
 
 
 def resampled(docs: DataFrame, labels: DataFrame, keep: float | None = None, seed: int = 0) -> DataFrame:
