@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Test items are a query set held against all documents, a block of bounded size at a time.
-Of each item the word n-grams that are rarest in the whole corpus are seeds. Where a document
+Of each item the word n-grams that are rare in the whole corpus are seeds. Where a document
 has a seed, the words around it are aligned with the item; the score is that of the best local
 alignment as a share of a perfect one, so edited, shortened or partly rewritten copies score
 by what is left of the item.
@@ -20,8 +20,8 @@ from tillscope.llm.storage import free_name
 from tillscope.llm.textarrays import LETTER_WORDS, ngrams, pieces, utf8, words
 
 SEED_WORDS = 3
-#: Share of an item's n-grams, the rarest ones, that serve as seeds.
-SEED_SHARE = 0.5
+#: An n-gram this many times as frequent as the item's median n-gram is no seed.
+COMMON = 8
 # Items of at most about this many words are held against the documents at once.
 BLOCK_WORDS = 500_000
 
@@ -59,14 +59,21 @@ class Items:
         self.sieve[grams & np.uint64((1 << _SIEVE_BITS) - 1)] = True
 
     def keep_rare(self, counts: dict[int, int]) -> None:
-        """Use each item's rarest n-grams as seeds, given how often the corpus has each."""
+        """Use as seeds the n-grams that are not far commoner in the corpus than the item's others.
+
+        At least half of the item's n-grams that occur anywhere stay; the measure is the item's
+        own median, so an item all of whose passages are common keeps its seeds too.
+        """
         often = np.array([counts.get(g, 0) for g in self.grams.view(np.int64).tolist()], np.int64)
         own = often[np.searchsorted(self.grams, self.gram)]
-        order = np.lexsort((self.gram, own, self.item))
+        order = np.lexsort((own, self.item))
+        order = order[own[order] > 0]
         start = np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
         size = np.diff(start)
-        rank = np.arange(len(order)) - np.repeat(start[:-1], size)
-        rare = order[rank < np.repeat(np.ceil(size * SEED_SHARE), size)]
+        filled = np.flatnonzero(size)
+        usual = np.zeros(len(self.ids), np.int64)
+        usual[filled] = own[order][start[filled] + size[filled] // 2]
+        rare = order[own[order] <= COMMON * usual[self.item[order]]]
         rare = rare[np.argsort(self.gram[rare], kind="stable")]
         self.item, self.place, self.gram = self.item[rare], self.place[rare], self.gram[rare]
         self._look_for(np.unique(self.gram))

@@ -52,6 +52,7 @@ _BLANKS = re.compile(r"\s+")
 
 
 TAG_COST = 0.1
+BARRED = -0.1
 
 
 class Block(NamedTuple):
@@ -157,9 +158,12 @@ class Weights:
         self.tag_cost = tag_cost
 
     def word(self, block: Block) -> float:
-        """Score of a word of the block: negative in parts that are none of the article."""
+        """Score of a word of the block: negative in parts that are none of the article.
+
+        A barred part costs little: it is left out in any case, and an article goes on after it.
+        """
         if block.barred:
-            return -1.0
+            return BARRED
         odds = sum(self.odds.get(n, 0.0) for n in block.names if n not in GENERIC)
         return max(-1.0, min(1.0, 0.25 + odds / 4.0))
 
