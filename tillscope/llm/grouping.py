@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillscope.llm.storage import checkpointed
+from tillscope.llm.storage import checkpointed, compact
 
 # Rows of one group are dealt to this many sub-groups, so no task gets a whole large group.
 SALTS = 256
@@ -54,12 +54,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         """Each row's neighbour ``b`` linked to the least node around ``a``."""
         least = pairs.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select(F.col("a").alias("_a"), F.least("a", "m").alias("m"))
-        return pairs.join(least, F.col("a") == F.col("_a")).select("a", "b", "m")
+        return compact(pairs.join(least, F.col("a") == F.col("_a")).select("a", "b", "m"))
 
     plain = edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
-    current = checkpointed(plain.distinct())
+    current = checkpointed(compact(plain))
     before = digest(current)
     for _ in range(max_rounds):
         if before[0] == 0:
@@ -67,14 +67,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = (
             towards_minimum(both).where("b > a and b <> m")
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            .select(F.col("b").alias("a"), F.col("m").alias("b"))
         )
         down = towards_minimum(large)
         small = (
             down.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(down.select("a", F.col("m").alias("b"))).distinct()
         )
-        current = checkpointed(small)
+        current = checkpointed(compact(small))
         after = digest(current)
         if after == before:
             break

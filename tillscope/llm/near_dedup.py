@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tillscope.llm import setsketch
 from tillscope.llm.grouping import connected_components, with_group_totals
-from tillscope.llm.storage import checkpointed, free_name
+from tillscope.llm.storage import checkpointed, compact, free_name
 from tillscope.llm.textarrays import mix, pieces, shingles, utf8, words
 
 # Words of a shingle, and the least similarity in per cent.
@@ -140,7 +140,7 @@ def _bodies(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a``, ``b`` that hold on the full sets."""
     body = {x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"}
     return checkpointed(
-        pairs.join(body["b"], "b").join(body["a"], "a").mapInArrow(_confirmed, "a long, b long").distinct()
+        pairs.join(body["b"], "b").join(body["a"], "a").mapInArrow(_confirmed, "a long, b long")
     )
 
 
@@ -156,7 +156,7 @@ def _star_links(stars: DataFrame, sketches: DataFrame, texts: DataFrame) -> Data
     likely = stars.join(side["b"], "b").join(side["a"], "a").where(
         100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
     ).mapInArrow(_likely, "a long, b long")
-    return _bodies(checkpointed(likely.distinct()), texts)
+    return _bodies(checkpointed(compact(likely)), texts)
 
 
 def _rest(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -203,7 +203,7 @@ def _rest(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
     pairs = pairs.select(
         F.least("doc_id_l", "doc_id_r").alias("a"), F.greatest("doc_id_l", "doc_id_r").alias("b")
     ).distinct()
-    return _bodies(pairs, texts)
+    return _bodies(compact(pairs), texts)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -219,24 +219,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     found = checkpointed(summaries(docs))
     linked = found.where("n_shingles > 0 and doc_id is not null")
-    classes = checkpointed(
-        with_group_totals(
-            linked.select("doc_id", "digest", "n_shingles"), ["digest", "n_shingles"],
-            F.col("doc_id"), {"class_id": (F.col("doc_id"), "min")},
-        ).select("doc_id", "digest", "class_id")
-    )
+    classed = checkpointed(with_group_totals(
+        linked, ["digest", "n_shingles"], F.col("doc_id"), {"class_id": (F.col("doc_id"), "min")}
+    ))
+    classes = classed.select("doc_id", "class_id")
     # One row for each class; a doc_id with several texts can stand for several classes.
-    alone = classes.where("doc_id = class_id").select("doc_id", "digest").distinct()
-    sketches = linked.join(alone, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
+    sketches = classed.where("doc_id = class_id").dropDuplicates(["digest", "n_shingles"])
     bands = sketches.select("doc_id", "registers").mapInArrow(_band_rows, "band long, doc_id long")
     shared = bands.groupBy("band").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     shared = shared.where("least < most").select("band", "least")
-    members = checkpointed(bands.join(shared, "band"))
-    ids = members.select("doc_id").distinct()
+    members = checkpointed(compact(bands.join(shared, "band")))
+    ids = compact(members.select("doc_id").distinct())
     texts = checkpointed(docs.select("doc_id", "text").join(ids, "doc_id"))
-    stars = members.where("doc_id > least").select(
+    stars = compact(members.where("doc_id > least").select(
         F.col("least").alias("a"), F.col("doc_id").alias("b")
-    ).distinct()
+    ).distinct())
     links = _star_links(stars, sketches, texts)
     so_far = connected_components(links)
     placed = members.select("band", "doc_id").join(
@@ -246,7 +243,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_docs = placed.join(mixed.where("lo < hi").select("band"), "band").select(
         "doc_id", "component"
     ).distinct()
-    more = _rest(checkpointed(open_docs), texts)
+    more = _rest(checkpointed(compact(open_docs)), texts)
     # A doc_id with several texts lies in several classes and links them.
     spans = classes.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z"))
     bridges = classes.join(spans.where("a < z"), "doc_id").where("class_id > a").select(

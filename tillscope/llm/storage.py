@@ -33,6 +33,14 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def compact(frame: DataFrame) -> DataFrame:
+    """``frame`` in as many partitions as the cluster has cores, for tables of narrow rows.
+
+    A shuffle writes files for every task before it; few bytes need no more tasks than cores.
+    """
+    return frame.coalesce(max(2, frame.sparkSession.sparkContext.defaultParallelism))
+
+
 def free_name(frame: DataFrame, stem: str) -> str:
     """A column name that ``frame`` has not got, whatever the case of its letters."""
     taken = {name.lower() for name in frame.columns}
