@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ from tillscope.llm.storage import checkpointed
 from tillscope.llm.textarrays import BLANKS, PLAIN_WORDS, mix, ngrams, pieces, utf8, words
 
 BUCKETS = 1 << 16
+# Bound of the labelled documents that the target model is made of.
+TARGET_DOCUMENTS = 200_000
 # How much of the ratio of the two models counts for a text, whatever its length: the mean
 # log ratio of its n-grams times this many n-grams.
 EFFECTIVE = 50.0
@@ -61,33 +64,39 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (grams & np.uint64(BUCKETS - 1)).astype(np.int64), first * 3
 
 
-def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals = np.zeros((2, BUCKETS), np.int64)
-    for batch in batches:
-        good = batch.column("good").to_numpy(zero_copy_only=False).astype(bool)
-        for start, stop, part, at in pieces(*utf8(batch.column("text"))):
-            grams, first = features(part, at)
-            totals[0] += np.bincount(grams, minlength=BUCKETS)
-            chosen = np.repeat(good[start:stop], np.diff(first))
-            totals[1] += np.bincount(grams[chosen], minlength=BUCKETS)
-    seen = np.flatnonzero(totals[0])
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(seen), pa.array(totals[0][seen]), pa.array(totals[1][seen])],
-        names=["bucket", "raw", "target"],
-    )
+def _good_ids(labels: DataFrame) -> np.ndarray:
+    """Sorted ids labelled good; of more than ``TARGET_DOCUMENTS`` about so many, by hash."""
+    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("id")).distinct()
+    share = min(1.0, TARGET_DOCUMENTS / max(good.count(), 1))
+    chosen = good.where(F.xxhash64("id") / F.lit(2.0**63) <= 2 * share - 1)
+    return np.sort(chosen.toArrow().column("id").to_numpy())
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Log ratio of each bucket's chance in good texts and in all texts.
 
-    Counts go over all documents; a document is good if a label says so. The outcome is one number
-    for each of ``BUCKETS`` buckets, however large the corpus.
+    All documents count for the one model, those labelled good (a bounded number) for the other. The
+    outcome is one number for each of ``BUCKETS`` buckets, however large the corpus.
     """
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("_good_id")).distinct()
-    marked = docs.join(good, F.col("doc_id") == F.col("_good_id"), "left").select(
-        F.col("_good_id").isNotNull().alias("good"), "text"
-    )
-    rows = marked.mapInArrow(_bucket_counts, "bucket long, raw long, target long").groupBy("bucket").agg(
+    good = docs.sparkSession.sparkContext.broadcast(_good_ids(labels))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((2, BUCKETS), np.int64)
+        for batch in batches:
+            ids = batch.column("doc_id")
+            marked = np.isin(pc.fill_null(ids, 0).to_numpy(), good.value) & ids.is_valid().to_numpy(zero_copy_only=False)
+            for start, stop, part, at in pieces(*utf8(batch.column("text"))):
+                grams, first = features(part, at)
+                totals[0] += np.bincount(grams, minlength=BUCKETS)
+                chosen = np.repeat(marked[start:stop], np.diff(first))
+                totals[1] += np.bincount(grams[chosen], minlength=BUCKETS)
+        seen = np.flatnonzero(totals[0])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen), pa.array(totals[0][seen]), pa.array(totals[1][seen])],
+            names=["bucket", "raw", "target"],
+        )
+
+    rows = docs.select("doc_id", "text").mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")
     ).collect()
     counts = np.zeros((2, BUCKETS))
