@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillscope.functions.measures import as_double
 from tillscope.operators.calendar import with_months
@@ -70,9 +71,9 @@ def _task4_coverage(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _data_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_report(
-        star.transactions(spark, folder), star.merchants(spark, folder), REPORT_TIME
-    )
+    merchants = star.merchants(spark, folder)
+    as_text = merchants.select(*[F.col(c).cast("string").alias(c) for c in merchants.columns])
+    return quality_report(star.transactions(spark, folder), merchants, REPORT_TIME, as_text)
 
 
 def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
@@ -161,13 +162,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 _TRANSACTIONS = """
 tx AS (
-  SELECT 'M' || CAST(o_custkey AS VARCHAR) AS merchant_id,
+  SELECT CASE WHEN o_custkey % 17 = 3 THEN 'X' ELSE 'M' END || CAST(o_custkey AS VARCHAR) AS merchant_id,
          l_extendedprice AS purchase_amount,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
          o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS purchase_date,
          CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS raw_category,
          CAST(l_linenumber AS INTEGER) AS installments
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
 )"""
 
 _MERCHANTS = """
@@ -176,8 +177,7 @@ merchants AS (
          CASE WHEN c_custkey % 10 <> 0 THEN c_name END AS merchant_name,
          CAST(c_nationkey AS INTEGER) AS city_id,
          CAST(n_regionkey AS INTEGER) AS state_id
-  FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey % 17 <> 3
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 )"""
 
 _CLEANED = f"""{_TRANSACTIONS},{_MERCHANTS},
@@ -368,15 +368,21 @@ checks AS (
   SELECT count(*) FILTER (merchant_id IS NULL) AS null_merchant_id,
          count(*) FILTER (purchase_amount < 0) AS negative_amount,
          count(*) FILTER (purchase_date > TIMESTAMP '{REPORT_TIME}') AS future_date,
+         count(*) FILTER (abs(purchase_amount * 100 - round_even(purchase_amount * 100, 0)) > 1e-3) AS sub_cent_amount,
          count(*) FILTER (merchant_id IS NOT NULL AND NOT EXISTS (
            SELECT 1 FROM merchants WHERE merchants.merchant_id = tx.merchant_id)) AS unmatched_merchant
   FROM tx
 )
 SELECT "check", failing_rows FROM (
-  UNPIVOT checks ON null_merchant_id, negative_amount, future_date, unmatched_merchant
+  UNPIVOT checks ON null_merchant_id, negative_amount, future_date, sub_cent_amount, unmatched_merchant
   INTO NAME "check" VALUE failing_rows)
 UNION ALL
-SELECT 'duplicate_merchant_id', count(*) - count(DISTINCT merchant_id) FROM merchants""",
+SELECT 'duplicate_merchant_id', count(*) - count(DISTINCT merchant_id) FROM merchants
+UNION ALL
+SELECT 'bad_merchant_field', count(*) FILTER (
+  (c_nationkey IS NOT NULL AND TRY_CAST(CAST(c_nationkey AS VARCHAR) AS INTEGER) IS NULL)
+  OR (n_regionkey IS NOT NULL AND TRY_CAST(CAST(n_regionkey AS VARCHAR) AS INTEGER) IS NULL))
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
     }
     checked = {name: f"WITH {text.strip()}" for name, text in sql.items()}
     if training_text is not None:

@@ -3,32 +3,37 @@ from datetime import datetime
 import pytest
 from tests.data import MERCHANTS, SALES, cleaned, merchants, row_set, rows, sale, transactions
 
-from tillscope.operators.cleaning import clean, fits_broadcast, unique_merchants
+from tillscope.operators.cleaning import clean, unique_merchants
 from tillscope.operators.quality import quality_report
 from tillscope.schema import CLEANED_COLUMNS
 
 
-@pytest.mark.parametrize("broadcast", [True, False, None])
-def test_rules(spark, broadcast):
-    df = clean(transactions(spark), merchants(spark), broadcast=broadcast)
+@pytest.fixture(params=["10MB", "-1"], ids=["broadcast", "shuffled"])
+def join_kind(request, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rules(spark, join_kind):
+    df = clean(transactions(spark), merchants(spark))
     assert df.columns == list(CLEANED_COLUMNS)
     by_id = {(r["merchant_id"], r["purchase_amount"]): r for r in df.collect()}
     assert len(by_id) == len(SALES)
-    assert by_id["M004", 3000.0]["merchant_name"] == "M004"
-    unmatched = by_id["M005", 750.0]
-    assert (unmatched["merchant_name"], unmatched["city_id"], unmatched["state_id"]) == ("M005", None, None)
-    assert by_id["M002", 500.0]["category"] == "Unknown category"
-    assert by_id["M001", 1000.0]["category"] == "Electronics"
+    assert by_id["K58", 45.75]["merchant_name"] == "K58"
+    unmatched = by_id["K99", 15.0]
+    assert (unmatched["merchant_name"], unmatched["city_id"], unmatched["state_id"]) == ("K99", None, None)
+    assert by_id["K20", 64.25]["category"] == "Unknown category"
+    assert by_id["K17", 120.5]["category"] == "Books"
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_duplicate_merchants_do_not_multiply_sales(spark, broadcast):
-    dimension = [("M001", None, 9, 9), *MERCHANTS, ("M001", "Zed", 1, 1)]
-    df = clean(transactions(spark), merchants(spark, dimension), broadcast=broadcast)
+def test_duplicate_merchants_do_not_multiply_sales(spark, join_kind):
+    dimension = [("K17", None, 1, 1), *MERCHANTS, ("K17", "Zed", 1, 1)]
+    df = clean(transactions(spark), merchants(spark, dimension))
     assert df.count() == len(SALES)
     # Of the copies the first filled name in order is taken, whole.
-    assert {(r["merchant_name"], r["city_id"]) for r in df.where("merchant_id = 'M001'").collect()} == {
-        ("Merchant A", 1)
+    assert {(r["merchant_name"], r["city_id"]) for r in df.where("merchant_id = 'K17'").collect()} == {
+        ("Harbour Books", 4)
     }
 
 
@@ -46,35 +51,30 @@ def test_sale_without_merchant_id_is_kept(spark):
     assert row["merchant_name"] is None and row["purchase_amount"] == 5.0
 
 
-def test_size_check(spark):
-    dimension = merchants(spark)
-    assert fits_broadcast(dimension)
-    assert not fits_broadcast(dimension, max_rows=3)
-    assert not fits_broadcast(dimension, max_bytes=100)
-    assert fits_broadcast(dimension.limit(0))
-
-
-def test_size_check_decides_the_join(spark):
-    small = clean(transactions(spark), merchants(spark), broadcast=True)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-
-
 def test_quality_report(spark):
-    sales = [*SALES, sale(amount=-5.0), sale(when=datetime(2030, 1, 1)), sale("GONE"), sale("GONE")]
+    sales = [*SALES, sale(amount=-5.0), sale(amount=1.125), sale(amount=0.1 + 0.2), sale(when=datetime(2030, 1, 1)), sale("GONE"), sale("GONE")]
     dimension = [*MERCHANTS, MERCHANTS[0], MERCHANTS[0]]
-    report = quality_report(transactions(spark, sales), merchants(spark, dimension), "2024-01-01 00:00:00")
+    text = spark.createDataFrame(
+        [("K1", "A", "4", "x"), ("K2", None, None, "7"), ("K3", "B", "four", "y")],
+        "merchant_id string, merchant_name string, city_id string, state_id string",
+    )
+    report = quality_report(
+        transactions(spark, sales), merchants(spark, dimension), "2024-01-01 00:00:00", text
+    )
     assert dict(rows(report)) == {
         "null_merchant_id": 0,
         "negative_amount": 1,
         "future_date": 1,
+        "sub_cent_amount": 1,
         "unmatched_merchant": 3,
         "duplicate_merchant_id": 2,
+        "bad_merchant_field": 2,
     }
 
 
 def test_quality_report_counts_missing_ids(spark):
     sales = transactions(spark).selectExpr(
-        "nullif(merchant_id, 'M001') AS merchant_id", "purchase_amount", "purchase_date"
+        "nullif(merchant_id, 'K17') AS merchant_id", "purchase_amount", "purchase_date"
     )
     report = dict(rows(quality_report(sales, merchants(spark), datetime(2024, 1, 1))))
     assert report["null_merchant_id"] == 2

@@ -1,5 +1,9 @@
 """Whole runs from files, through the job, the command line and the class interface."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 from tests.data import MERCHANTS, SALES, cleaned, merchants, row_set, rows, transactions
@@ -53,9 +57,57 @@ def test_cube_scans_the_sales_once(spark, tmp_path):
 
     path = str(tmp_path / "sales")
     transactions(spark).write.parquet(path)
-    plan = sales_totals(load_transactions(spark, path), merchants(spark), in_cents=True)
+    plan = sales_totals(load_transactions(spark, path), in_cents=True)
     text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert text.count("Relation [") == 1
+    assert text.count("Relation [") == 1 and "Join" not in text
+
+
+def test_cube_builds_the_side_asked_for(spark):
+    cube = SalesCube(spark).build(transactions(spark), merchants(spark), sides=["calendar"])
+    try:
+        assert "Join" not in cube.by_calendar._jdf.queryExecution().optimizedPlan().toString()
+        stored = spark.table(f"{cube.database}.sales_totals")
+        assert {r.side for r in stored.select("side").distinct().collect()} == {"calendar"}
+        cube.build(transactions(spark), merchants(spark))
+        assert cube.sides == ("calendar", "merchant")
+        assert row_set(results.popular_merchants_by_city(cube.by_merchant)) == row_set(
+            results.popular_merchants_by_city(cleaned(spark))
+        )
+    finally:
+        cube.drop()
+
+
+def test_checks(spark, inputs, tmp_path, capsys):
+    sales, dimension = inputs
+    assert cli.main(["-t", sales, "-m", dimension, "--no-hive", "check"], spark=spark) == 0
+    assert "unmatched_merchant: 1" in capsys.readouterr().out
+    odd = str(tmp_path / "odd")
+    transactions(spark, [*SALES, ("K17", 1.005, SALES[0][2], "Books", 1)]).write.parquet(odd)
+    argv = ["-t", odd, "-m", dimension, "--no-hive", "task3", "-o", str(tmp_path / "a.csv")]
+    assert cli.main(["--in-cents", *argv], spark=spark) == 1
+    assert "not whole cents" in capsys.readouterr().err
+    assert cli.main(argv, spark=spark) == 0
+
+
+def test_run_leaves_the_session_as_it_was(spark, inputs, tmp_path):
+    before = dict(spark.sparkContext.getConf().getAll())
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    argv = ["-t", inputs[0], "-m", inputs[1], "--no-hive", "task3", "-o", str(tmp_path / "a.csv")]
+    assert cli.main(argv, spark=spark) == 0
+    assert dict(spark.sparkContext.getConf().getAll()) == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
+
+
+def test_shared_folder_must_be_named():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="--work-dir"):
+        session.shared_folder(Session())
 
 
 def test_run_all(spark, inputs, tmp_path, database, capsys):
@@ -124,18 +176,37 @@ def test_spark_settings():
     )
     assert args.use_hive
     assert cli.spark_settings(args) == {"spark.executor.memory": "3g", "spark.master": "local[1]"}
-
-
-def test_shuffles_grow_with_the_input(spark):
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    try:
-        session.size_shuffles(spark, spark.range(10, numPartitions=2))
-        assert spark.conf.get(key) == before
-        session.size_shuffles(spark, spark.range(10, numPartitions=50))
-        assert spark.conf.get(key) == "25"
-    finally:
-        spark.conf.set(key, before)
+    args = cli.build_parser().parse_args(["-t", "a", "-m", "b", "--work-dir", "/shared", "check"])
+    assert cli.spark_settings(args) == {"spark.checkpoint.dir": "/shared"}
+
+
+OWN_SESSION = """
+import sys
+from pyspark.sql import SparkSession
+from tillscope import cli, session
+sales, dimension, base, hive = sys.argv[1:]
+made = []
+for name in ("create_session",):
+    import tillscope.job as job
+    plain = getattr(job, name)
+    setattr(job, name, lambda *a, **k: made.append(plain(*a, **k)) or made[-1])
+argv = ["-t", sales, "-m", dimension, "--work-dir", base + "/work", "--spark-master", "local[2]"]
+argv += [] if hive == "yes" else ["--no-hive"]
+code = cli.main(argv + ["task3", "-o", base + "/a.csv"])
+stopped = made[0]._jsc.sc().isStopped()
+failed = cli.main(["-t", base + "/none", "-m", dimension, "--work-dir", base, "--no-hive", "task3"])
+print("RESULT", code, stopped, failed, made[1]._jsc.sc().isStopped())
+"""
+
+
+@pytest.mark.parametrize("hive", ["no", "yes"])
+def test_own_session_is_made_and_stopped(inputs, tmp_path, hive):
+    """The job makes its session (in catalog mode with the embedded catalog) and always stops it."""
+    done = subprocess.run(
+        [sys.executable, "-c", OWN_SESSION, *inputs, str(tmp_path), hive],
+        cwd=tmp_path, env={**os.environ, "PYTHONPATH": os.getcwd()}, capture_output=True, text=True, timeout=300,
+    )
+    assert "RESULT 0 True 1 True" in done.stdout, done.stdout[-2000:] + done.stderr[-2000:]
 
 
 def test_shared_folder_is_the_clusters(spark):
@@ -162,8 +233,8 @@ def test_class_interface(spark, inputs):
     analysis = api.MerchantAnalysis()
     top = analysis.task1_top_merchants_by_city_month(df)
     assert set(top.columns) == {"month", "city_id", "merchant_name", "purchase_total", "no_of_sales"}
-    assert rows(analysis.task2_average_sale_by_merchant_state(df))[0] == ("M004", 30, 3000.0)
-    assert rows(analysis.task3_top_hours_by_category(df))[0] == ("Electronics", "15")
+    assert rows(analysis.task2_average_sale_by_merchant_state(df))[0] == ("Cobalt Cycles", 2, 195.0)
+    assert rows(analysis.task3_top_hours_by_category(df))[0] == ("Books", "9")
     popular, dominant = analysis.task4_popular_merchants_location_analysis(df)
     assert popular.columns == ["merchant_name", "city_id", "transaction_count", "rank"]
     assert dominant.columns == ["city_id", "dominant_category", "category_transactions"]
@@ -184,14 +255,14 @@ def test_class_interface(spark, inputs):
 def test_one_merchant_with_a_third_of_all_sales(spark):
     """A heavy merchant's sales are summed before the join, and nothing is lost."""
     heavy = spark.range(3000).selectExpr(
-        "IF(id % 3 = 0, 'M001', concat('X', id)) AS merchant_id",
+        "IF(id % 3 = 0, 'K17', concat('X', id)) AS merchant_id",
         "CAST(id % 50 AS double) / 4 AS purchase_amount",
         "timestamp'2023-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id AS int)) AS purchase_date",
         "CAST(NULL AS string) AS category",
         "CAST(id % 4 AS int) AS installments",
     )
     totals = merchant_totals(heavy, merchants(spark), ("year", "month"), in_cents=True)
-    assert totals.where("merchant_id = 'M001'").count() == 5
+    assert totals.where("merchant_id = 'K17'").count() == 5
     trends = results.monthly_sales_trends(totals).agg({"transaction_count": "sum"}).first()
     assert trends[0] == 3000
-    assert len(SALES) == 6
+    assert len(SALES) == 7

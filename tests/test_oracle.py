@@ -1,6 +1,7 @@
 """Every registered query against its SQL, on whole tables."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -30,10 +31,13 @@ def sort_key(row):
 
 
 def test_same_names():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    """Queries without SQL belong to the training-text part, which tests them itself."""
+    without = set(driver.queries()) - set(driver.oracle_sql())
+    assert not set(driver.oracle_sql()) - set(driver.queries())
+    assert all(name == "pipeline" or re.match(r"op\d+_", name) for name in without)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_query(spark, duck, name):
     frame = driver.queries()[name](spark, FOLDER)
     expected = duck.sql(driver.oracle_sql()[name])

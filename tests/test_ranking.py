@@ -35,20 +35,40 @@ def test_against_brute_force(spark, spread, partitions):
         assert sorted(got, key=key) == sorted(brute_force(table, n), key=key)
 
 
-def test_all_tied(spark):
-    """A group that is one big tie is kept whole, and is not ranked in one task."""
-    df = spark.range(20_000).select(F.lit(1).alias("g"), F.lit(7).cast("bigint").alias("v"), "id")
-    best = top_ranked(df.repartition(8, "id"), ["g"], ["v"], 2, spread=True)
-    assert best.count() == 20_000
-    assert best.agg(F.max("rank")).first()[0] == 1
+@pytest.fixture(params=["10MB", "-1"], ids=["broadcast", "shuffled"])
+def join_kind(request, spark):
     # Partitions this small would be merged again, which hides how they were made.
-    merging = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(merging, "false")
-    try:
-        sizes = [r["count"] for r in best.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.unset(merging)
-    assert len(sizes) > 1 and max(sizes) < 20_000
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": request.param,
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": request.param,
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_all_tied(spark, join_kind):
+    """A group that is one big tie is kept whole, and is not ranked in one task."""
+    df = spark.range(20_000).select(
+        (F.col("id") * 0 + 1).alias("g"), (F.col("id") * 0 + 7).alias("v"), "id"
+    ).repartition(8, "id")
+    best = top_ranked(df, ["g"], ["v"], 2, spread=True)
+    assert best.agg(F.count("*"), F.max("rank")).first() == (20_000, 1)
+    sizes = [r["count"] for r in best.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 15_000
+
+
+def test_constant_keys_need_no_cross_join(spark, join_kind):
+    df = spark.range(100).select(F.lit(1).alias("g"), F.lit(7).cast("bigint").alias("v"), "id")
+    best = top_ranked(df.repartition(4, "id"), ["g"], ["v"], 2, spread=True)
+    assert best.count() == 100
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_two_values_rank_together(spark):
@@ -57,10 +77,11 @@ def test_two_values_rank_together(spark):
     assert got == [(1, 5, 1, 2), (1, 5, 2, 1)]
 
 
-def test_doubles_take_the_single_pass(spark):
+def test_doubles_cannot_be_spread(spark):
     df = spark.createDataFrame([(1, 0.5), (1, 0.25)], "g int, v double")
-    plan = top_ranked(df, ["g"], ["v"], 1, spread=True)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan
+    with pytest.raises(ValueError, match="floating-point"):
+        top_ranked(df, ["g"], ["v"], 1, spread=True)
+    assert [tuple(r) for r in top_ranked(df, ["g"], ["v"], 1).collect()] == [(1, 0.5, 1)]
 
 
 def test_lookup_matches_empty_values(spark):

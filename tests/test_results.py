@@ -29,91 +29,93 @@ def make(request, spark):
 
 def test_top_merchants(make):
     assert rows(as_double(results.top_merchants_by_month_city(make()))) == [
-        ("Jan 2023", None, "M005", 750.0, 1),
-        ("Jan 2023", 1, "Merchant A", 3000.0, 2),
-        ("Jan 2023", 1, "Merchant C", 1500.0, 1),
-        ("Feb 2023", 2, "Merchant B", 500.0, 1),
-        ("Feb 2023", 3, "M004", 3000.0, 1),
+        ("Mar 2021", None, "K99", 15.0, 1),
+        ("Mar 2021", 4, "Cobalt Cycles", 300.0, 1),
+        ("Mar 2021", 4, "Harbour Books", 200.0, 2),
+        ("Apr 2021", 4, "Cobalt Cycles", 90.0, 1),
+        ("Apr 2021", 7, "Olive Grove", 64.25, 1),
+        ("Apr 2021", 9, "K58", 45.75, 1),
     ]
 
 
 def test_average_sales(make):
     assert rows(results.avg_sales_by_merchant_state(make())) == [
-        ("M004", 30, 3000.0),
-        ("Merchant A", 10, 1500.0),
-        ("Merchant C", 10, 1500.0),
-        ("M005", None, 750.0),
-        ("Merchant B", 20, 500.0),
+        ("Cobalt Cycles", 2, 195.0),
+        ("Harbour Books", 2, 100.0),
+        ("Olive Grove", 3, 64.25),
+        ("K58", 5, 45.75),
+        ("K99", None, 15.0),
     ]
 
 
 def test_top_hours(make):
     assert rows(results.top_hours_by_category(make())) == [
-        ("Electronics", "15"),
-        ("Electronics", "14"),
-        ("Fashion", "16"),
-        ("Home", "14"),
-        ("Sports", "11"),
-        ("Unknown category", "10"),
+        ("Books", "9"),
+        ("Books", "17"),
+        ("Garden", "20"),
+        ("Sports", "17"),
+        ("Sports", "12"),
+        ("Toys", "9"),
+        ("Unknown category", "12"),
     ]
 
 
 def test_popular_merchants(make):
     assert row_set(results.popular_merchants_by_city(make())) == [
-        ("M004", 3, 1, 1),
-        ("M005", None, 1, 1),
-        ("Merchant A", 1, 2, 1),
-        ("Merchant B", 2, 1, 1),
-        ("Merchant C", 1, 1, 2),
+        ("Cobalt Cycles", 4, 2, 1),
+        ("Harbour Books", 4, 2, 1),
+        ("K58", 9, 1, 1),
+        ("K99", None, 1, 1),
+        ("Olive Grove", 7, 1, 1),
     ]
 
 
 def test_dominant_categories(make):
     assert row_set(results.city_dominant_categories(make())) == [
-        (None, "Sports", 1),
-        (1, "Electronics", 2),
-        (2, "Unknown category", 1),
-        (3, "Home", 1),
+        (None, "Garden", 1),
+        (4, "Sports", 2),
+        (7, "Unknown category", 1),
+        (9, "Toys", 1),
     ]
 
 
 def test_city_category_sales(make):
-    assert (1, "Electronics", 2, 3000.0) in row_set(results.city_category_sales(make()))
+    assert (4, "Sports", 2, 390.0) in row_set(results.city_category_sales(make()))
 
 
 def test_recommendations(make):
     sales = make()
     assert rows(results.recommendation_top_cities(sales)) == [
-        (1, 4500.0, 3, 1500.0),
-        (3, 3000.0, 1, 3000.0),
-        (None, 750.0, 1, 750.0),
-        (2, 500.0, 1, 500.0),
+        (4, 590.0, 4, 147.5),
+        (7, 64.25, 1, 64.25),
+        (9, 45.75, 1, 45.75),
+        (None, 15.0, 1, 15.0),
     ]
     assert rows(results.recommendation_top_categories(sales)) == [
-        ("Electronics", 3000.0, 2, 1500.0),
-        ("Home", 3000.0, 1, 3000.0),
-        ("Fashion", 1500.0, 1, 1500.0),
-        ("Sports", 750.0, 1, 750.0),
-        ("Unknown category", 500.0, 1, 500.0),
+        ("Sports", 390.0, 2, 195.0),
+        ("Books", 200.0, 2, 100.0),
+        ("Unknown category", 64.25, 1, 64.25),
+        ("Toys", 45.75, 1, 45.75),
+        ("Garden", 15.0, 1, 15.0),
     ]
     assert rows(results.monthly_sales_trends(sales)) == [
-        (2023, 1, 5250.0, 4),
-        (2023, 2, 3500.0, 2),
+        (2021, 3, 515.0, 4),
+        (2021, 4, 200.0, 3),
     ]
     assert rows(results.hourly_sales_patterns(sales)) == [
-        (10, 500.0, 1),
-        (11, 750.0, 1),
-        (14, 4000.0, 2),
-        (15, 2000.0, 1),
-        (16, 1500.0, 1),
+        (9, 166.25, 2),
+        (12, 154.25, 2),
+        (17, 379.5, 2),
+        (20, 15.0, 1),
     ]
 
 
 def test_installments(make):
     assert rows(results.installment_profitability_analysis(make())) == [
-        (1, 1312.5, 4, 1312.5, 0.0, 1312.5, 25.0),
-        (2, 2000.0, 1, 500.0, 229.0, 271.0, 13.55),
-        (3, 1500.0, 1, 375.0, 171.75, 203.25, 13.55),
+        (1, 67.81, 4, 67.81, 0.0, 67.81, 25.0),
+        (2, 64.25, 1, 16.06, 7.36, 8.71, 13.55),
+        (3, 79.5, 1, 19.88, 9.1, 10.77, 13.55),
+        (6, 300.0, 1, 75.0, 34.35, 40.65, 13.55),
     ]
 
 
@@ -160,7 +162,7 @@ def test_tied_hours_are_all_kept(make):
 
 def test_last_category_by_name_wins_a_tie(make):
     sales = [sale(category="Alpha"), sale(category="Beta")]
-    assert rows(results.city_dominant_categories(make(sales))) == [(1, "Beta", 1)]
+    assert rows(results.city_dominant_categories(make(sales))) == [(4, "Beta", 1)]
 
 
 def test_months_run_in_calendar_order(make):
@@ -195,10 +197,10 @@ def test_sums_agree_between_tables(spark):
 
 def test_half_cent_means_round_up_exactly(spark):
     """0.005 and 0.015 have no exact double; exact money still rounds them half up."""
-    sales = [sale("M001", 0.01), sale("M001", 0.0), sale("M002", 0.01), sale("M002", 0.02)]
+    sales = [sale("K17", 0.01), sale("K17", 0.0), sale("K20", 0.01), sale("K20", 0.02)]
     totals = merchant_totals(transactions(spark, sales), merchants(spark), in_cents=True)
     got = {r[0]: r[2] for r in rows(results.merchant_state_averages(totals))}
-    assert got == {"Merchant A": 0.01, "Merchant B": 0.02}
+    assert got == {"Harbour Books": 0.01, "Olive Grove": 0.02}
 
 
 def test_column_types(spark):
@@ -214,4 +216,21 @@ def test_column_types(spark):
 
 def test_calendar_roll_up_needs_no_merchants(spark):
     hours = roll_up(transactions(spark), ("category", "hour"), in_cents=True)
-    assert rows(results.top_hours_by_category(hours))[0] == ("Electronics", "15")
+    assert rows(results.top_hours_by_category(hours))[0] == ("Books", "9")
+
+
+def test_order_of_tied_rows(make):
+    """Where the sorting figure ties, the keys decide: every sorted table comes out one way."""
+    dimension = [("B", "Bee", 2, 1), ("A", "Ant", 2, 1), ("C", "Cat", 1, 1)]
+    one, two = datetime(2021, 5, 1, 8), datetime(2021, 6, 1, 10)
+    sales = [sale(m, 10.0, when, category) for m in "BAC" for when in (two, one) for category in ("Y", "X")]
+    made = make(sales, dimension)
+    top = [r[:3] for r in rows(results.top_merchants_by_month_city(made))]
+    names = [(1, "Cat"), (2, "Ant"), (2, "Bee")]
+    assert top == [(month, *name) for month in ("May 2021", "Jun 2021") for name in names]
+    assert [r[0] for r in rows(results.avg_sales_by_merchant_state(made))] == ["Ant", "Bee", "Cat"]
+    assert rows(results.top_hours_by_category(made)) == [("X", "8"), ("X", "10"), ("Y", "8"), ("Y", "10")]
+    assert [r[0] for r in rows(results.recommendation_top_categories(made))] == ["X", "Y"]
+    assert [r[0] for r in rows(results.hourly_sales_patterns(made))] == [8, 10]
+    cities = [r[0] for r in rows(results.recommendation_top_cities(make(sales[4:], dimension)))]
+    assert cities == [1, 2]

@@ -1,7 +1,7 @@
 """Command line: ``python -m tillscope -t SALES -m MERCHANTS COMMAND``.
 
-Commands are ``task1`` to ``task5``, ``run-all`` and ``load-raw-data``; ``--task N`` and
-``--task all`` do the same without a command. Paths may be on any file system Spark reads.
+Commands are ``task1`` to ``task5``, ``run-all``, ``load-raw-data`` and ``check`` (input checks
+only); ``--task N`` and ``--task all`` do the same without a command. Paths may be on any file system Spark reads.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ def build_parser() -> argparse.ArgumentParser:
     )
     parser.add_argument("--task", choices=[*TASKS, "all"], help="task to run, instead of a command")
     parser.add_argument("-o", "--output", help=f"folder of the results ({REPORTS})")
+    parser.add_argument("--work-dir", help="folder all executors share (spark.checkpoint.dir)")
     parser.add_argument("--spark-master", help="such as local[4] or spark://host:port")
     parser.add_argument("--spark-executor-memory", help="such as 8g (default: the cluster's)")
     parser.add_argument("--spark-executor-cores", help="default: the cluster's")
@@ -49,6 +50,7 @@ def build_parser() -> argparse.ArgumentParser:
     )
     commands.add_parser("run-all")
     commands.add_parser("load-raw-data")
+    commands.add_parser("check")
     return parser
 
 
@@ -58,6 +60,7 @@ def _default(task: str, index: int) -> str:
 
 def spark_settings(args: argparse.Namespace) -> dict[str, str]:
     given = {
+        "spark.checkpoint.dir": args.work_dir,
         "spark.master": args.spark_master,
         "spark.executor.memory": args.spark_executor_memory,
         "spark.executor.cores": args.spark_executor_cores,
@@ -72,6 +75,8 @@ def execute(job: SparkJob, args: argparse.Namespace) -> None:
         job.run_all_tasks(args.output)
     elif args.command == "load-raw-data":
         job.load_raw_data()
+    elif args.command == "check":
+        job.check()
     elif args.command == "task4":
         job.run_task4(args.output_merchants, args.output_categories)
     else:

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.functions.measures import as_double
 from tillscope.operators.cleaning import clean
+from tillscope.operators.quality import quality_report
 from tillscope.plans import insights, results
-from tillscope.plans.cube import SalesCube
-from tillscope.session import create_session, size_shuffles
+from tillscope.plans.cube import SIDES, SalesCube
+from tillscope.session import create_session
 from tillscope.sinks.catalog import DATABASE, write_layers, write_table
 from tillscope.sinks.files import save_results
-from tillscope.sources.files import load_merchants, load_transactions
+from tillscope.sources.files import load_merchants, load_transactions, raw_merchants
 
 REPORTS = "reports"
+#: Rows of a large result that a run prints.
+SHOWN = 50
 
 
 @dataclass(frozen=True)
@@ -35,7 +39,7 @@ class Output:
 
 _RECOMMENDATIONS = "task5_recommendations"
 
-#: The result tables of each task, in report order.
+#: The result tables of each task, in report order. Table and file names.
 TASKS: dict[str, tuple[Output, ...]] = {
     "1": (
         Output(
@@ -116,7 +120,8 @@ class SparkJob:
         self.in_cents = in_cents
         self.spark = spark or create_session(catalog=use_hive, conf=spark_config)
         self._owns_session = spark is None
-        self._cube: SalesCube | None = None
+        self._cube = SalesCube(self.spark)
+        self._checked = False
         self._kept: list[DataFrame] = []
 
     # --- inputs -------------------------------------------------------------------------
@@ -131,22 +136,46 @@ class SparkJob:
         """Single cleaned sales, not cached: the tasks read totals instead."""
         return clean(self.transactions(), self.merchants())
 
-    def totals(self) -> SalesCube:
-        """Sales totals of the whole input, computed on first use."""
-        if self._cube is None:
-            sales = self.transactions()
-            size_shuffles(self.spark, sales)
-            self._cube = SalesCube(self.spark).build(sales, self.merchants(), in_cents=self.in_cents)
+    def quality(self) -> DataFrame:
+        """Rows of the inputs that fail a check; in cents mode amounts must be whole cents."""
+        now = datetime.now(UTC).replace(tzinfo=None)
+        return quality_report(
+            self.transactions(), self.merchants(), now, raw_merchants(self.spark, self.merchants_path)
+        )
+
+    def check(self) -> None:
+        """Print the quality report once; refuse amounts that whole cents would change."""
+        if self._checked:
+            return
+        report = self.quality().collect()
+        _title("INPUT CHECKS")
+        for row in report:
+            print(f"{row['check']}: {row['failing_rows']}")
+        failing = {row["check"]: row["failing_rows"] for row in report}
+        if self.in_cents and failing["sub_cent_amount"]:
+            raise ValueError(
+                f"{failing['sub_cent_amount']} amount(s) are not whole cents; run without --in-cents"
+            )
+        self._checked = True
+
+    def totals(self, sides: Sequence[str] = tuple(SIDES)) -> SalesCube:
+        """Sales totals of the whole input; each side is computed on first use."""
+        self.check()
+        first = not self._cube.sides
+        self._cube.build(self.transactions(), self.merchants(), sides=sides, in_cents=self.in_cents)
+        if first:
             _title("DATA")
-            insights.dataset_profile(self._cube.by_merchant).show(truncate=False)
-            _show("Sample rows", clean(sales.limit(5), self.merchants()), 5)
+            if "merchant" in sides:
+                insights.dataset_profile(self._cube.by_merchant).show(truncate=False)
+            _show("Sample rows", clean(self.transactions().limit(5), self.merchants()), 5)
         return self._cube
 
     # --- tasks --------------------------------------------------------------------------
 
     def _run(self, task: str, paths: Mapping[str, str | None]) -> dict[str, DataFrame]:
         """Compute, keep, write and return the tables of a task by table name."""
-        cube = self.totals()
+        sides = {"merchant" if output.by_merchant else "calendar" for output in TASKS[task]}
+        cube = self.totals(sorted(sides))
         tables = {}
         for output in TASKS[task]:
             source = cube.by_merchant if output.by_merchant else cube.by_calendar
@@ -167,7 +196,7 @@ class SparkJob:
             "top_merchants_by_month_city"
         ]
         insights.task1_coverage(table).show(truncate=False)
-        _show("Top merchants", table, 20)
+        _show("Top merchants", table, SHOWN)
         return table
 
     def run_task2(self, output_path: str | None = None) -> DataFrame:
@@ -179,6 +208,7 @@ class SparkJob:
         insights.avg_sale_summary(table).show(truncate=False)
         _show("Highest averages", insights.top_average_merchants(table), 10)
         _show("Rows 11 to 30", insights.avg_sales_page(table), 20)
+        _show("Averages", table, SHOWN)
         return table
 
     def run_task3(self, output_path: str | None = None) -> DataFrame:
@@ -187,7 +217,7 @@ class SparkJob:
         table = self._run("3", {"top_hours_by_category": output_path})["top_hours_by_category"]
         insights.task3_coverage(table).show(truncate=False)
         _show("Categories peaking at each hour", insights.peak_hour_distribution(table), 24)
-        _show("Peak hours", table, 20)
+        _show("Peak hours", table, SHOWN)
         return table
 
     def run_task4(
@@ -219,7 +249,7 @@ class SparkJob:
             for o in TASKS["5"]
         }
         tables = self._run("5", paths)
-        cities = results.performance(self.totals().by_merchant, "city_id")
+        cities = results.performance(self._cube.by_merchant, "city_id")
         monthly, hourly = tables["monthly_sales_trends"], tables["hourly_sales_patterns"]
         plans = tables["installment_profitability_analysis"]
         _show("Top cities", tables["recommendation_top_cities"], 5)
@@ -249,6 +279,7 @@ class SparkJob:
             getattr(self, f"run_task{task}")(*[f"{base}/{o.file}" for o in TASKS[task]])
 
     def run_all_tasks(self, output_base_dir: str | None = None) -> None:
+        self.totals()  # both sides in one scan
         for task in TASKS:
             self.run_task(task, output_base_dir)
 
@@ -265,9 +296,7 @@ class SparkJob:
         for table in self._kept:
             table.unpersist()
         self._kept.clear()
-        if self._cube is not None:
-            self._cube.drop()
-            self._cube = None
+        self._cube.drop()
         if self._owns_session:
             self.spark.stop()
 

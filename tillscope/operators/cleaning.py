@@ -11,10 +11,6 @@ from tillscope.schema import CLEANED_COLUMNS
 # Fixed value: the name given to sales that carry no category.
 UNKNOWN_CATEGORY = "Unknown category"
 
-#: Largest dimension that is sent whole to every executor by the row-level join.
-BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
 
 def known_category(category: str = "category") -> Column:
     return F.coalesce(F.col(category), F.lit(UNKNOWN_CATEGORY))
@@ -42,37 +38,18 @@ def unique_merchants(merchants: DataFrame) -> DataFrame:
     )
 
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
-) -> bool:
-    """Measure a dimension (one pass over it) and say whether broadcasting it is safe."""
-    width = sum(
-        (
-            F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + F.lit(16)
-            for f in df.schema
-        ),
-        F.lit(0),
-    )
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("bytes")).first()
-    return size["n"] <= max_rows and (size["bytes"] or 0) <= max_bytes
-
-
-def clean(transactions: DataFrame, merchants: DataFrame, *, broadcast: bool | None = None) -> DataFrame:
+def clean(transactions: DataFrame, merchants: DataFrame) -> DataFrame:
     """Every sale with its merchant's name, city and state (left outer join).
 
     * a sale whose merchant is unknown is kept, with empty city and state;
     * a missing merchant name becomes the merchant id;
     * a missing category becomes ``Unknown category``.
 
-    ``broadcast=None`` measures the dimension and broadcasts it only if it is small, which
-    saves shuffling the sales. A larger one is left to a shuffled join, where adaptive
-    execution splits the partitions of merchants that hold a large share of all sales.
+    How the join runs is left to Spark: a dimension below the session's broadcast threshold is
+    sent to every executor, a larger one is shuffled, and adaptive execution splits the
+    partitions of merchants that hold a large share of all sales.
     """
     dimension = unique_merchants(merchants)
-    if broadcast is None:
-        broadcast = fits_broadcast(merchants)
-    if broadcast:
-        dimension = F.broadcast(dimension)
     joined = transactions.select(
         "merchant_id", "category", "purchase_date", "purchase_amount", "installments"
     ).join(

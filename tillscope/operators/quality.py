@@ -9,18 +9,28 @@ from pyspark.sql import functions as F
 
 
 def quality_report(
-    transactions: DataFrame, merchants: DataFrame, report_time: datetime | str
+    transactions: DataFrame,
+    merchants: DataFrame,
+    report_time: datetime | str,
+    raw_merchants: DataFrame | None = None,
 ) -> DataFrame:
     """Rows failing each check, as ``(check, failing_rows)``.
 
+    ``raw_merchants`` are the merchants as text, before ids were read as numbers; with them the
+    fields that are no numbers are counted too.
+
     ``report_time`` stands for "now", so that the report can be repeated. Sales are summed
     per merchant first; only those sums are joined to the merchants.
     """
     now: Column = F.lit(str(report_time)).cast(transactions.schema["purchase_date"].dataType)
+    hundredfold = F.col("purchase_amount").cast("double") * 100
+    # A cent amount held as a double may be off by its last bits, never by a thousandth.
+    sub_cent = F.abs(hundredfold - F.rint(hundredfold)) > F.lit(1e-3)
     per_merchant = transactions.groupBy("merchant_id").agg(
         F.count(F.lit(1)).alias("sales"),
         F.count_if(F.col("purchase_amount") < 0).alias("negative"),
         F.count_if(F.col("purchase_date") > now).alias("future"),
+        F.count_if(sub_cent).alias("sub_cent"),
     )
     copies = (
         merchants.where(F.col("merchant_id").isNotNull())
@@ -34,11 +44,12 @@ def quality_report(
             _sum_where(no_id, "sales").alias("null_merchant_id"),
             _sum_where(F.lit(True), "negative").alias("negative_amount"),
             _sum_where(F.lit(True), "future").alias("future_date"),
+            _sum_where(F.lit(True), "sub_cent").alias("sub_cent_amount"),
             _sum_where(F.col("copies").isNull() & ~no_id, "sales").alias("unmatched_merchant"),
         )
         .unpivot(
             [],
-            ["null_merchant_id", "negative_amount", "future_date", "unmatched_merchant"],
+            ["null_merchant_id", "negative_amount", "future_date", "sub_cent_amount", "unmatched_merchant"],
             "check",
             "failing_rows",
         )
@@ -46,7 +57,20 @@ def quality_report(
     duplicates = copies.agg(
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("failing_rows")
     ).select(F.lit("duplicate_merchant_id").alias("check"), "failing_rows")
-    return sales_checks.unionByName(duplicates)
+    report = sales_checks.unionByName(duplicates)
+    if raw_merchants is not None:
+        report = report.unionByName(_bad_fields(raw_merchants))
+    return report
+
+
+def _bad_fields(raw_merchants: DataFrame) -> DataFrame:
+    """Merchants whose city or state is text that is not a number, and is read as empty."""
+    bad = F.lit(False)
+    for column in ("city_id", "state_id"):
+        bad = bad | (F.col(column).isNotNull() & F.col(column).try_cast("int").isNull())
+    return raw_merchants.agg(F.count_if(bad).alias("failing_rows")).select(
+        F.lit("bad_merchant_field").alias("check"), "failing_rows"
+    )
 
 
 def _sum_where(condition: Column, column: str) -> Column:

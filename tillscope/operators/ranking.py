@@ -9,6 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Tasks that the rows tied at one value are dealt to.
+SALTS = 16
+
 
 def top_ranked(
     df: DataFrame,
@@ -27,16 +30,19 @@ def top_ranked(
     1. every task keeps the best ``n`` ranks of the part of each group it happens to hold,
        which cannot drop a row of the group's best ``n``, whatever the parts are;
     2. the distinct values left over, at most ``n`` per part and group, are ranked;
-    3. the kept rows look up their rank by value.
+    3. the kept rows look up their rank by value and by a salt, for which the few ranked
+       values are repeated, so that rows tied at one value meet in ``SALTS`` tasks, not one.
 
-    Step 3 compares values computed twice, so it needs values that come out the same each
-    time. Counts and decimals do; sums of doubles need not, and take the plain window.
+    Step 3 compares values computed twice, so ``spread`` takes whole numbers and decimals,
+    which come out the same each time; sums of doubles need not and are refused.
     """
     values = [F.desc(c) for c in by]
     in_group = W.partitionBy(*groups).orderBy(*values)
-    floating = any(isinstance(df.schema[c].dataType, T.DoubleType | T.FloatType) for c in by)
-    if floating or not spread:
+    if not spread:
         return df.withColumn(rank, F.dense_rank().over(in_group)).where(F.col(rank) <= n)
+    floating = [c for c in by if isinstance(df.schema[c].dataType, T.DoubleType | T.FloatType)]
+    if floating:
+        raise ValueError(f"cannot spread a ranking by floating-point values: {', '.join(floating)}")
 
     in_part = W.partitionBy(*groups, "part").orderBy(*values)
     kept = (
@@ -44,18 +50,16 @@ def top_ranked(
         .withColumn("part_rank", F.dense_rank().over(in_part))
         .where(F.col("part_rank") <= n)
         .drop("part", "part_rank")
+        .withColumn("salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
     )
-    # The checksum is not needed, but the columns it reads are: with them this branch and the
-    # lookup ask for the same shuffle of the kept rows, and Spark makes it once.
     ranks = (
-        kept.groupBy(*groups, *by)
-        .agg(F.bit_xor(F.xxhash64(*df.columns)).alias("checksum"))
-        .where(F.col("checksum").isNotNull())
-        .drop("checksum")
+        kept.select(*groups, *by).distinct()
         .withColumn(rank, F.dense_rank().over(in_group))
         .where(F.col(rank) <= n)
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        .withColumn("salt", F.col("salt").cast("long"))
     )
-    return lookup(kept, ranks, [*groups, *by], [rank])
+    return lookup(kept, ranks, [*groups, *by, "salt"], [rank]).drop("salt")
 
 
 def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], take: Sequence[str]) -> DataFrame:

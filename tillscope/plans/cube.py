@@ -1,14 +1,15 @@
 """All sales totals a full run needs, from one pass over the sales.
 
 The ten tables need sales either by merchant or by calendar hour and plan, never both at
-once. Two grouping sets over a single scan give both groupings; the result is joined to the
-merchants and written, so that every table afterwards reads totals instead of sales, and a
-lost executor costs no second pass.
+once. Two grouping sets over a single scan give both groupings; the result is written, so that
+every table afterwards reads totals instead of sales, and a lost executor costs no second pass.
+Merchants are joined when the merchant side is read: the calendar side never meets them.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,16 +23,20 @@ CALENDAR_SIDE = ("year", "month", "hour", "category", "installments")
 _KEYS = ("merchant_id", "year", "month", "hour", "category", "installments")
 
 
-def sales_totals(transactions: DataFrame, merchants: DataFrame, *, in_cents: bool = False) -> DataFrame:
-    """Totals of both sides, told apart by ``side``, with merchants attached."""
+SIDES = {"merchant": MERCHANT_SIDE, "calendar": CALENDAR_SIDE}
+
+
+def sales_totals(
+    transactions: DataFrame, *, sides: Sequence[str] = tuple(SIDES), in_cents: bool = False
+) -> DataFrame:
+    """Totals of the wanted sides, told apart by ``side``."""
     keyed = transactions.select(
         *[key_column(transactions, k).alias(k) for k in _KEYS], "purchase_amount"
     )
-    both = keyed.groupingSets([list(MERCHANT_SIDE), list(CALENDAR_SIDE)], *_KEYS).agg(
+    return keyed.groupingSets([list(SIDES[side]) for side in sides], *_KEYS).agg(
         *m.totals(keyed, in_cents=in_cents),
         F.when(F.grouping("merchant_id") == 1, "calendar").otherwise("merchant").alias("side"),
     )
-    return attach_merchants(both, merchants)
 
 
 class SalesCube:
@@ -44,16 +49,28 @@ class SalesCube:
         self.spark = spark
         name = re.sub(r"\W", "_", spark.sparkContext.applicationId).lower()
         self.database = f"tillscope_work_{name}"
-        self._built = False
+        self._merchants: DataFrame | None = None
+        self.sides: tuple[str, ...] = ()
 
     def build(
-        self, transactions: DataFrame, merchants: DataFrame, *, in_cents: bool = False
+        self,
+        transactions: DataFrame,
+        merchants: DataFrame,
+        *,
+        sides: Sequence[str] = tuple(SIDES),
+        in_cents: bool = False,
     ) -> SalesCube:
+        """Compute the wanted sides that are not there yet, in one scan."""
+        self._merchants = merchants
+        wanted = [side for side in sides if side not in self.sides]
+        if not wanted:
+            return self
         folder = f"{shared_folder(self.spark)}/{self.database}"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{folder}'")
-        totals = sales_totals(transactions, merchants, in_cents=in_cents)
-        totals.write.mode("overwrite").partitionBy("side").saveAsTable(f"{self.database}.sales_totals")
-        self._built = True
+        totals = sales_totals(transactions, sides=wanted, in_cents=in_cents)
+        mode = "append" if self.sides else "overwrite"
+        totals.write.mode(mode).partitionBy("side").saveAsTable(f"{self.database}.sales_totals")
+        self.sides += tuple(wanted)
         return self
 
     def _side(self, side: str, keys: tuple[str, ...]) -> DataFrame:
@@ -63,13 +80,13 @@ class SalesCube:
 
     @property
     def by_merchant(self) -> DataFrame:
-        return self._side("merchant", (*MERCHANT_SIDE, "merchant_name", "city_id", "state_id"))
+        return attach_merchants(self._side("merchant", MERCHANT_SIDE), self._merchants)
 
     @property
     def by_calendar(self) -> DataFrame:
         return self._side("calendar", CALENDAR_SIDE)
 
     def drop(self) -> None:
-        if self._built:
+        if self.sides:
             self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
-            self._built = False
+            self.sides = ()

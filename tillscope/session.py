@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 APP_NAME = "MerchantAnalytics"
 
@@ -23,10 +22,6 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-#: Most shuffle partitions :func:`size_shuffles` asks for.
-MAX_SHUFFLE_PARTITIONS = 20_000
-
-
 def create_session(
     app_name: str = APP_NAME,
     *,
@@ -66,24 +61,9 @@ def get_spark_with_hive(app_name: str = APP_NAME) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for tables that cut lineage.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master, whose executors
-    all share this machine, may fall back to a temporary folder.
+    ``spark.checkpoint.dir`` names it; there is no other place that is sure to be shared.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="tillscope-")
-
-
-def size_shuffles(spark: SparkSession, source: DataFrame) -> None:
-    """Raise the number of shuffle partitions to suit the size of ``source``.
-
-    One for every two read tasks, never fewer than configured. Asking for too many costs
-    little, as adaptive execution merges what turns out small; too few would spill.
-    """
-    setting = "spark.sql.shuffle.partitions"
-    wanted = min(source.rdd.getNumPartitions() // 2, MAX_SHUFFLE_PARTITIONS)
-    if wanted > int(spark.conf.get(setting)):
-        spark.conf.set(setting, str(wanted))
+    if not configured:
+        raise ValueError("set spark.checkpoint.dir (or --work-dir) to a folder that all executors share")
+    return configured.rstrip("/")

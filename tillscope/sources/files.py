@@ -21,12 +21,17 @@ def load_merchants(spark: SparkSession, path: str) -> DataFrame:
     """Merchants from CSV with a header; columns are found by name, in any order.
 
     Only the header line is read here. Empty fields are empty values, and an id that is not
-    a number becomes one too.
+    a number becomes one too (the quality report counts these).
     """
+    return raw_merchants(spark, path).select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.MERCHANTS]
+    )
+
+
+def raw_merchants(spark: SparkSession, path: str) -> DataFrame:
+    """The same columns as the text the file holds."""
     text = spark.read.option("header", True).csv(path)
     missing = [c for c in schema.MERCHANTS.names if c not in text.columns]
     if missing:
         raise ValueError(f"{path}: missing column(s) {', '.join(missing)}")
-    return text.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.MERCHANTS]
-    )
+    return text.select(*schema.MERCHANTS.names)
