@@ -32,6 +32,9 @@ PIECE = 2_000_000
 # An anchor with more kinds of runs than this (about 5 MB) is counted string by string.
 MAX_RUNS = 20_000
 
+# Documents taken from a batch at a time.
+ROWS = 256
+
 _RUN = "id long, body int, start long, strings int, anchor long, touched long"
 _KEY = ["id", "body"]
 
@@ -89,9 +92,16 @@ def _candidates(shared: DataFrame) -> DataFrame:
     )
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time: as Python objects they take many times their size."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, ROWS):
+            yield batch.slice(low, ROWS)
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the runs that must be sorted."""
-    for batch in batches:
+    for batch in _few(batches):
         out: list[list] = [[] for _ in range(6)]
         size = 0
         for key, body, text, runs in zip(*(batch.column(c).to_pylist() for c in (*_KEY, "text", "runs")), strict=True):
@@ -145,7 +155,7 @@ def _sorted_piece(table: pa.Table) -> pa.Table:
 
 def _single_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each string of the anchors with very many runs, by a hash of its bytes."""
-    for batch in batches:
+    for batch in _few(batches):
         for key, body, text, runs in zip(*(batch.column(c).to_pylist() for c in (*_KEY, "text", "runs")), strict=True):
             wanted = [r for r in runs if r["sort"] and r["many"]]
             if not wanted:
@@ -177,7 +187,7 @@ def _repeated_singles(affected: DataFrame) -> DataFrame:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes removed, spans removed and the hash of what is left, for documents with candidates."""
-    for batch in batches:
+    for batch in _few(batches):
         removed, spans, digests = [], [], []
         for text, runs, more in zip(*(batch.column(c).to_pylist() for c in ("text", "runs", "found")), strict=True):
             data = text.encode()
