@@ -156,7 +156,7 @@ def _star_links(stars: DataFrame, sketches: DataFrame, texts: DataFrame) -> Data
     likely = stars.join(side["b"], "b").join(side["a"], "a").where(
         100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
     ).mapInArrow(_likely, "a long, b long")
-    return _bodies(checkpointed(compact(likely)), texts)
+    return _bodies(compact(checkpointed(likely)), texts)
 
 
 def _rest(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bands = sketches.select("doc_id", "registers").mapInArrow(_band_rows, "band long, doc_id long")
     shared = bands.groupBy("band").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     shared = shared.where("least < most").select("band", "least")
-    members = checkpointed(compact(bands.join(shared, "band")))
+    members = compact(checkpointed(bands.join(shared, "band")))
     ids = compact(members.select("doc_id").distinct())
     texts = checkpointed(docs.select("doc_id", "text").join(ids, "doc_id"))
     stars = compact(members.where("doc_id > least").select(
