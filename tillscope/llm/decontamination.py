@@ -26,7 +26,7 @@ COMMON = 8
 BLOCK_WORDS = 500_000
 
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.4
 CELLS = 2_000_000
 
 _SIEVE_BITS = 22
