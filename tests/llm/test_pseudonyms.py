@@ -33,7 +33,9 @@ def fresh(spark):
     return {r.doc_id: r.text[4:-4] for r in pseudonymised(frame, "key").collect()}
 
 
-def test_formats(fresh):
+def test_formats(fresh, spark):
+    capitals = spark.createDataFrame([(0, VALUES[-1].upper())], "doc_id int, text string")
+    fresh_of_upper = pseudonymised(capitals, "key").first().text
     shape = lambda v: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub(r"\d", "0", v)))
     for i, value in enumerate(VALUES):
         assert fresh[i] != value
@@ -48,6 +50,7 @@ def test_formats(fresh):
     assert iban_ok(got["GB82 WEST 1234 5698 7654 32"]) and iban_ok(got["DE89370400440532013000"])
     assert 1900 <= date.fromisoformat(got["2021-02-28"]).year < 2100
     assert re.fullmatch("[0-9a-f]{40}", got[VALUES[-1]])
+    assert fresh_of_upper == got[VALUES[-1]].upper()
     assert got[VALUES[0]].endswith("@mail1.example.com") and got["+1 (437) 555-0689"].startswith("+1 (")
 
 

@@ -84,7 +84,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
         totals = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
             ids = batch.column("doc_id")
-            marked = np.isin(pc.fill_null(ids, 0).to_numpy(), good.value) & ids.is_valid().to_numpy(zero_copy_only=False)
+            marked = np.isin(pc.fill_null(ids, 0).to_numpy(), good.value)
+            marked &= ids.is_valid().to_numpy(zero_copy_only=False)
             for start, stop, part, at in pieces(*utf8(batch.column("text"))):
                 grams, first = features(part, at)
                 totals[0] += np.bincount(grams, minlength=BUCKETS)

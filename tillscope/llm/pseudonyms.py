@@ -19,7 +19,7 @@ PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}@"
              r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}"
           r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9]|[./-][0-9])",
@@ -172,13 +172,19 @@ def _email(value: Column, key: str) -> Column:
     )
 
 
+def _secret(value: Column, key: str) -> Column:
+    """Written in capitals or not, a secret has the same pseudonym."""
+    fresh = permuted(F.lower(value), key, "secret", hexadecimal=True)
+    return F.when(value.rlike("[A-F]"), F.upper(fresh)).otherwise(fresh)
+
+
 def pseudonym(value: Column, key: str) -> Column:
     """Pseudonym of one found value."""
     whole = {kind: value.rlike(f"^(?:{p})$") for kind, p in PATTERNS.items()}
     return (
         F.when(whole["email"], _email(value, key))
         .when(whole["iban"], _iban(value, key))
-        .when(whole["secret"], permuted(value, key, "secret", hexadecimal=True))
+        .when(whole["secret"], _secret(value, key))
         .when(whole["ip"], _ip(value, key))
         .when(whole["date"], _date(value, key))
         .when(whole["national"], permuted(value, key, "national"))
