@@ -170,7 +170,8 @@ def mix_sources(docs: DataFrame, total_share: float = 1.5, seed: str = "mix") ->
 def mixed_documents(docs: DataFrame, total_share: float = 1.5) -> DataFrame:
     """Documents with a part in the mix, with ``taken`` words each (repeats counted).
 
-    Other columns stay as they are; if one is named ``taken``, the new one has ``_`` added. Rows that share a doc_id share what the id takes in all.
+    Other columns stay as they are; if one is named ``taken``, the new one has ``_`` added. Rows
+    that share a doc_id share what the id takes in all.
     """
     node, taken = free_name(docs, "mixed_id"), free_name(docs, "taken")
     shares = mix_sources(docs, total_share).groupBy("doc_id").agg(F.sum("taken").alias(taken))
