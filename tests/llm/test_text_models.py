@@ -101,6 +101,27 @@ def test_model_is_a_distribution_and_learns():
     assert score[0] > 0.6 * unigram
 
 
+def test_model_learns_from_all_texts(spark, monkeypatch):
+    """Without any sample a pattern of the texts is learned in the tasks, in any order of rows."""
+    monkeypatch.setattr(lm_scoring, "TRAIN_DOCUMENTS", 0)
+    rows = [(i, " ".join(["we go out and come home"] * 60)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = lm_scoring.score_documents(frame).collect()
+    held = [r for r in got if r.held_out]
+    assert held and all(r.score > 0.8 * r.base_score for r in held)
+
+
+def test_vocabulary_grows():
+    """A larger corpus has more words with weights of their own; chances still sum to one."""
+    assert gated_lm.room(7) == gated_lm.WORDS and gated_lm.room(262_144) == 262_144
+    places = gated_lm.room(3000)
+    assert 3000 <= places < 3100
+    model = gated_lm.GatedModel.fresh(np.ones(places + gated_lm.RARE_CLASSES), 3000, 1)
+    every = np.arange(places + gated_lm.RARE_CLASSES)
+    chances = model.log_chances(np.ones((len(every), gated_lm.STATE), np.float32), every)
+    assert np.exp(chances).sum() == pytest.approx(1, abs=1e-3) and len(set(chances[:3000])) > 2000
+
+
 def test_gradient_matches_differences():
     chance = np.random.default_rng(1)
     counts = np.ones(gated_lm.WORDS + gated_lm.RARE_CLASSES)

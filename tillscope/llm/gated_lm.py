@@ -1,21 +1,23 @@
 """A gated recurrent language model in numpy with a class-factored softmax.
 
 A token is predicted in two steps: its class from the state, and the word among its class. The
-frequent words fill classes of ``CLASS_WORDS``, whose words are predicted from the state too.
+frequent words fill classes of about the root of their number, whose words are predicted from
+the state too. How many words are frequent grows with the corpus (``room``).
 All other words fall in classes by their last letters, within which the counts of the training
 text decide; so every token, known or not, has a probability.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 
 STATE = 16
-CLASS_WORDS = 32
-WORD_CLASSES = 32
 RARE_CLASSES = 32
-WORDS = CLASS_WORDS * WORD_CLASSES
-CLASSES = WORD_CLASSES + RARE_CLASSES
+# Places for frequent words in the smallest model, and words of its classes.
+CLASS_WORDS = 32
+WORDS = CLASS_WORDS * CLASS_WORDS
 
 STREAMS = 32
 WINDOW = 20
@@ -23,10 +25,31 @@ EPOCHS = 3
 RATE = 0.01
 FLUSH = 100_000
 
+# The pass over all texts: streams at most, tokens of one at least where there are several, rate.
+WIDE = 256
+STREAM_TOKENS = 2_000
+PASS_RATE = 0.003
+
+
+def _class_words(words: int) -> int:
+    """Words of a class: the power of two from the root of all words on."""
+    size = CLASS_WORDS
+    while size * size < words:
+        size *= 2
+    return size
 
-def class_of(ids: np.ndarray) -> np.ndarray:
-    """Class of a token number: below WORDS a frequent word, from there on a rare class."""
-    return np.where(ids < WORDS, ids // CLASS_WORDS, ids - WORDS + WORD_CLASSES)
+
+def room(words: int) -> int:
+    """Places of a model for so many frequent words: whole classes."""
+    size = _class_words(words)
+    return max(WORDS, -(-words // size) * size)
+
+
+class Rows(NamedTuple):
+    """A gradient that is zero but in some rows."""
+
+    rows: np.ndarray
+    values: np.ndarray
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -43,6 +66,12 @@ class GatedModel:
 
     def __init__(self, weights: dict[str, np.ndarray]):
         self.weights = weights
+        self.word_classes, _, self.class_words = weights["words"].shape
+        self.words = self.word_classes * self.class_words
+
+    def class_of(self, ids: np.ndarray) -> np.ndarray:
+        """Class of a token number: below ``words`` a frequent word, from there on a rare class."""
+        return np.where(ids < self.words, ids // self.class_words, ids - self.words + self.word_classes)
 
     @classmethod
     def fresh(cls, counts: np.ndarray, used: int, seed: int = 0) -> GatedModel:
@@ -55,17 +84,20 @@ class GatedModel:
         def small(*shape: int) -> np.ndarray:
             return (chance.standard_normal(shape) * 0.1).astype(np.float32)
 
-        per_class = np.bincount(class_of(np.arange(len(counts))), counts, CLASSES)
-        words = counts[:WORDS].astype(float)
+        places = len(counts) - RARE_CLASSES
+        size = _class_words(places)
+        word_classes = places // size
+        words = counts[:places].astype(float)
+        per_class = np.append(words.reshape(word_classes, size).sum(axis=1), counts[places:])
         bias = np.log(words + 0.5)
         bias[used:] = -1e4
         return cls({
-            "inputs": small(WORDS + RARE_CLASSES, 3 * STATE),
+            "inputs": small(len(counts), 3 * STATE),
             "loop": small(STATE, 3 * STATE),
-            "classes": small(STATE, CLASSES),
+            "classes": small(STATE, len(per_class)),
             "class_bias": np.log(per_class + 0.5).astype(np.float32),
-            "words": small(WORD_CLASSES, STATE, CLASS_WORDS),
-            "word_bias": bias.reshape(WORD_CLASSES, CLASS_WORDS).astype(np.float32),
+            "words": small(word_classes, STATE, size),
+            "word_bias": bias.reshape(word_classes, size).astype(np.float32),
         })
 
     def step(self, ids: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
@@ -81,20 +113,20 @@ class GatedModel:
     def log_chances(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log of each target's probability: of its class, and for frequent words of the word."""
         w = self.weights
-        kinds = class_of(targets)
+        kinds = self.class_of(targets)
         logits = states @ w["classes"] + w["class_bias"]
         top = logits.max(axis=1)
         chosen = logits[np.arange(len(kinds)), kinds] - top
         result = chosen - np.log(np.exp(logits - top[:, None]).sum(axis=1))
         result = result.astype(np.float64)
-        frequent = np.flatnonzero(targets < WORDS)
+        frequent = np.flatnonzero(targets < self.words)
         order = frequent[np.argsort(kinds[frequent], kind="stable")]
-        bounds = np.searchsorted(kinds[order], np.arange(WORD_CLASSES + 1))
-        for c in range(WORD_CLASSES):
+        bounds = np.searchsorted(kinds[order], np.arange(self.word_classes + 1))
+        for c in range(self.word_classes):
             rows = order[bounds[c] : bounds[c + 1]]
             if len(rows):
                 inner = _log_softmax(states[rows] @ w["words"][c] + w["word_bias"][c])
-                result[rows] += inner[np.arange(len(rows)), targets[rows] % CLASS_WORDS]
+                result[rows] += inner[np.arange(len(rows)), targets[rows] % self.class_words]
         return result
 
     def text_scores(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -135,11 +167,8 @@ def train(texts: list[np.ndarray], counts: np.ndarray, used: int, seed: int = 0)
     the empty state.
     """
     model = GatedModel.fresh(counts, used, seed)
-    w = model.weights
     chance = np.random.default_rng(seed)
-    means = {k: np.zeros_like(v) for k, v in w.items()}
-    squares = {k: np.zeros_like(v) for k, v in w.items()}
-    turn = 0
+    adam = Adam(model)
     for epoch in range(EPOCHS):
         streams: list[list[np.ndarray]] = [[] for _ in range(STREAMS)]
         sizes = np.zeros(STREAMS, np.int64)
@@ -162,16 +191,50 @@ def train(texts: list[np.ndarray], counts: np.ndarray, used: int, seed: int = 0)
             if not (window >= 0).any():
                 break
             grads, state = _window_gradient(model, window, heads[:, low : low + WINDOW], state)
-            turn += 1
-            rate = RATE * (0.3 if epoch == EPOCHS - 1 else 1.0)
-            for k, g in grads.items():
-                means[k] += 0.1 * (g - means[k])
-                squares[k] += 0.01 * (g * g - squares[k])
-                step = means[k] / (1 - 0.9**turn) / (np.sqrt(squares[k] / (1 - 0.99**turn)) + 1e-6)
-                w[k] -= np.float32(rate) * step
+            adam.step(grads, RATE * (0.3 if epoch == EPOCHS - 1 else 1.0))
     return model
 
 
+class Adam:
+    """Steps on a model's weights; rows without a gradient stay as they are."""
+
+    def __init__(self, model: GatedModel):
+        self.weights = model.weights
+        self.means = {k: np.zeros_like(v) for k, v in model.weights.items()}
+        self.squares = {k: np.zeros_like(v) for k, v in model.weights.items()}
+        self.turn = 0
+
+    def step(self, grads: dict, rate: float) -> None:
+        self.turn += 1
+        for k, g in grads.items():
+            rows, g = g if isinstance(g, Rows) else (slice(None), g)
+            mean, square = self.means[k][rows], self.squares[k][rows]
+            mean = mean + np.float32(0.1) * (g - mean)
+            square = square + np.float32(0.01) * (g * g - square)
+            self.means[k][rows], self.squares[k][rows] = mean, square
+            scale = np.float32(rate / (1 - 0.9**self.turn))
+            self.weights[k][rows] -= scale * mean / (np.sqrt(square / np.float32(1 - 0.99**self.turn)) + np.float32(1e-6))
+
+
+def learn(model: GatedModel, adam: Adam, ids: np.ndarray, first: np.ndarray) -> None:
+    """Learn from every token of whole texts, ``ids[first[i]:first[i + 1]]``, once.
+
+    The texts stand one after the other and are cut into equal streams, which advance together.
+    """
+    streams = max(1, min(WIDE, len(ids) // STREAM_TOKENS))
+    length = -(-len(ids) // streams)
+    own = np.full(streams * length, -1, np.int64)
+    own[: len(ids)] = ids
+    heads = np.zeros(len(own), bool)
+    heads[first[:-1]] = True
+    own, heads = own.reshape(streams, length), heads.reshape(streams, length)
+    state = np.zeros((streams, STATE), np.float32)
+    for low in range(0, length, WINDOW):
+        window = slice(low, low + WINDOW)
+        grads, state = _window_gradient(model, own[:, window], heads[:, window], state)
+        adam.step(grads, PASS_RATE)
+
+
 def _window_gradient(model: GatedModel, ids: np.ndarray, heads: np.ndarray, state: np.ndarray):
     """Mean gradient over one window (number -1 marks places without a token) and the state after it."""
     w = model.weights
@@ -187,39 +250,48 @@ def _window_gradient(model: GatedModel, ids: np.ndarray, heads: np.ndarray, stat
     flat = np.concatenate(states)
     targets, weight = safe.T.ravel(), live.T.ravel().astype(np.float32)
     scale = np.float32(1.0 / weight.sum())
-    grads = {k: np.zeros_like(v) for k, v in w.items()}
+    grads: dict = {}
 
-    kinds = class_of(targets)
+    kinds = model.class_of(targets)
     slope = np.exp(_log_softmax(flat @ w["classes"] + w["class_bias"]))
     slope[np.arange(len(kinds)), kinds] -= 1.0
     slope *= (weight * scale)[:, None]
     grads["classes"], grads["class_bias"] = flat.T @ slope, slope.sum(axis=0)
     back = slope @ w["classes"].T
-    known = np.flatnonzero((targets < WORDS) & (weight > 0))
-    for c in np.unique(kinds[known]).tolist():
-        own = known[kinds[known] == c]
+    known = np.flatnonzero((targets < model.words) & (weight > 0))
+    known = known[np.argsort(kinds[known], kind="stable")]
+    found, at = np.unique(kinds[known], return_index=True)
+    slopes = np.zeros((len(found), STATE, model.class_words), flat.dtype)
+    bias_slopes = np.zeros((len(found), model.class_words), flat.dtype)
+    for k, (c, own) in enumerate(zip(found.tolist(), np.split(known, at[1:]), strict=False)):
         inner = np.exp(_log_softmax(flat[own] @ w["words"][c] + w["word_bias"][c]))
-        inner[np.arange(len(own)), targets[own] % CLASS_WORDS] -= 1.0
+        inner[np.arange(len(own)), targets[own] % model.class_words] -= 1.0
         inner *= scale
-        grads["words"][c], grads["word_bias"][c] = flat[own].T @ inner, inner.sum(axis=0)
+        slopes[k], bias_slopes[k] = flat[own].T @ inner, inner.sum(axis=0)
         back[own] += inner @ w["words"][c].T
+    grads["words"], grads["word_bias"] = Rows(found, slopes), Rows(found, bias_slopes)
     back = back.reshape(length, rows, STATE)
 
     ahead = np.zeros((rows, STATE), np.float32)
+    grads["loop"] = np.zeros_like(w["loop"])
+    inputs = np.empty((length, rows, 3 * STATE), flat.dtype)
     for t in range(length - 1, -1, -1):
-        token, before, keep, reset, new, u_new = saved[t]
+        _, before, keep, reset, new, u_new = saved[t]
         d_new = ahead * (1 - keep) * (1 - new * new)
         d_keep = ahead * (before - new) * keep * (1 - keep)
         d_reset = d_new * u_new * reset * (1 - reset)
         d_u = np.concatenate([d_keep, d_reset, d_new * reset], axis=1)
-        d_x = np.concatenate([d_keep, d_reset, d_new], axis=1) * live[:, t, None]
-        np.add.at(grads["inputs"], token, d_x)
+        inputs[t] = np.concatenate([d_keep, d_reset, d_new], axis=1) * live[:, t, None]
         grads["loop"] += before.T @ d_u
         ahead = ahead * keep + d_u @ w["loop"].T + back[t]
         # A text's first token starts from the empty state, so nothing goes further back.
         ahead = np.where(heads[:, t, None], np.float32(0), ahead)
-    norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+    order = np.argsort(targets, kind="stable")
+    tokens, at = np.unique(targets[order], return_index=True)
+    grads["inputs"] = Rows(tokens, np.add.reduceat(inputs.reshape(-1, 3 * STATE)[order], at, axis=0))
+    plain = [g.values if isinstance(g, Rows) else g for g in grads.values()]
+    norm = np.sqrt(sum(float((g * g).sum()) for g in plain))
     if norm > 1.0:
-        for g in grads.values():
+        for g in plain:
             g /= norm
     return grads, state

@@ -1,7 +1,9 @@
 """Scoring documents by a unigram base and by a gated recurrent language model.
 
 The counts of all training tokens are made by one distributed sum. The most frequent words
-travel to the tasks; a token of any other word meets its count in a join by the word.
+travel to the tasks; a token of any other word meets its count in a join by the word. The
+recurrent model starts from a small sample and then learns from every training text where it
+lies: each task passes over its texts from the same weights, and what the tasks learned is averaged.
 """
 
 from __future__ import annotations
@@ -13,20 +15,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.gated_lm import RARE_CLASSES, WORDS, GatedModel, train
+from tillscope.llm.gated_lm import RARE_CLASSES, Adam, GatedModel, learn, room, train
 from tillscope.llm.language_id import remainder
 from tillscope.llm.storage import checkpointed
 from tillscope.llm.textarrays import mix, pieces, utf8, words
 
 # Words whose counts are sent to all tasks, 16 bytes each; the others are joined.
 HEAD_WORDS = 1 << 18
-# Bounds of the sample the recurrent model learns from.
+# Bounds of the sample that gives the recurrent model the weights all tasks start from.
 TRAIN_DOCUMENTS = 800
 TRAIN_TOKENS = 600
 # Tokens counted together before their counts are handed on.
 COUNT_TOKENS = 4_000_000
 # Text scored side by side: more shares the cost of a step, less needs less memory.
 SCORE_BYTES = 12 << 20
+# Weights sent together when they are averaged; they are summed as whole numbers of this part of
+# one, so that the sum does not depend on its order.
+SLICE = 8_192
+UNIT = 2.0**-16
 
 #: Stands for the end of a text. Words are hashed, and 0 is mixed to something else.
 END = np.uint64(0)
@@ -85,7 +91,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Vocabulary:
     """Counts of the most frequent words, and what the model needs of all others."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, rare_mass: np.ndarray):
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, rare_mass: np.ndarray, words: int):
+        self.words = words
         order = np.argsort(hashes)
         self.hashes, self.counts, self.rank = hashes[order], counts[order], order
         self.log_counts = np.log10(self.counts + 1.0)
@@ -101,9 +108,9 @@ class Vocabulary:
     def numbers(self, places: np.ndarray, kinds: np.ndarray) -> np.ndarray:
         """Token numbers of the model: frequent words by rank, all others by class."""
         if not len(self.rank):
-            return WORDS + kinds.astype(np.int64)
-        rank = np.where(places >= 0, self.rank[places], WORDS)
-        return np.where(rank < WORDS, rank, WORDS + kinds.astype(np.int64))
+            return self.words + kinds.astype(np.int64)
+        rank = np.where(places >= 0, self.rank[places], self.words)
+        return np.where(rank < self.words, rank, self.words + kinds.astype(np.int64))
 
 
 def _vocabulary(counts: DataFrame) -> tuple[Vocabulary, int, int, np.ndarray]:
@@ -125,23 +132,25 @@ def _vocabulary(counts: DataFrame) -> tuple[Vocabulary, int, int, np.ndarray]:
     numbers, kinds = top.column("n").to_numpy(), top.column("kind").to_numpy()
     order = np.lexsort((hashes, -numbers))
     hashes, numbers, kinds = hashes[order], numbers[order], kinds[order]
-    rare = np.zeros(RARE_CLASSES)
-    known = np.zeros(RARE_CLASSES)
-    for kind, (n, distinct) in totals.items():
-        rare[kind], known[kind] = n, distinct
-    np.subtract.at(rare, kinds[:WORDS], numbers[:WORDS])
-    np.subtract.at(known, kinds[:WORDS], 1)
-    per_number = np.zeros(WORDS + RARE_CLASSES)
-    per_number[: len(numbers[:WORDS])] = numbers[:WORDS]
-    per_number[WORDS:] = rare
     tokens_in_all = int(sum(n for n, _ in totals.values()))
     distinct = int(sum(n for _, n in totals.values()))
+    # About as many words as the root of all tokens have weights of their own.
+    own = room(min(len(hashes), int(tokens_in_all**0.5)))
+    rare = np.zeros(RARE_CLASSES)
+    known = np.zeros(RARE_CLASSES)
+    for kind, (n, kinds_words) in totals.items():
+        rare[kind], known[kind] = n, kinds_words
+    np.subtract.at(rare, kinds[:own], numbers[:own])
+    np.subtract.at(known, kinds[:own], 1)
+    per_number = np.zeros(own + RARE_CLASSES)
+    per_number[: len(numbers[:own])] = numbers[:own]
+    per_number[own:] = rare
     # Each class keeps one count for words never seen.
-    return Vocabulary(hashes, numbers, rare + known + 1.0), tokens_in_all, distinct, per_number
+    return Vocabulary(hashes, numbers, rare + known + 1.0, own), tokens_in_all, distinct, per_number
 
 
 def _fit(training: DataFrame, vocabulary: Vocabulary, per_number: np.ndarray) -> GatedModel:
-    """The recurrent model, from at most ``TRAIN_DOCUMENTS`` documents chosen by hash.
+    """Starting weights, from at most ``TRAIN_DOCUMENTS`` documents chosen by hash.
 
     Of a long document a stretch of ``TRAIN_TOKENS`` tokens is used, at a place the hash decides.
     """
@@ -160,7 +169,73 @@ def _fit(training: DataFrame, vocabulary: Vocabulary, per_number: np.ndarray) ->
         hashes, kinds, _ = tokens(*utf8(pa.array([row["text"]], pa.string())))
         numbers = vocabulary.numbers(vocabulary.look_up(hashes), kinds)
         texts.append(numbers if len(numbers) <= TRAIN_TOKENS else numbers[-TRAIN_TOKENS:])
-    return train(texts, per_number, min(WORDS, len(vocabulary.hashes)))
+    return train(texts, per_number, min(vocabulary.words, len(vocabulary.hashes)))
+
+
+def _spread(weights: dict[str, np.ndarray], seen: np.ndarray, words: int) -> np.ndarray:
+    """How many tokens each weight, all in a row, was learned from."""
+    classes, _, size = weights["words"].shape
+    per_class = seen[:words].reshape(classes, size).sum(axis=1)
+    rows = {"inputs": seen, "words": per_class, "word_bias": per_class}
+    return np.concatenate([
+        np.repeat(rows[k], v[0].size) if k in rows else np.full(v.size, seen.sum()) for k, v in weights.items()
+    ])
+
+
+def _learned(training: DataFrame, vocabulary: Vocabulary, start: GatedModel) -> GatedModel:
+    """The model after a pass over all training texts.
+
+    Every task learns from each token of its texts, from the same start. A weight's moves are
+    averaged by the tokens that each task learned it from: a word's by its own, others by all.
+    """
+    context = training.sparkSession.sparkContext
+    shipped = context.broadcast((vocabulary, start.weights))
+
+    def pass_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, begin = shipped.value
+        model = GatedModel({k: v.copy() for k, v in begin.items()})
+        adam = Adam(model)
+        seen = np.zeros(known.words + RARE_CLASSES, np.int64)
+        for batch in _small_batches(batches):
+            hashes, kinds, first = _all_tokens(batch.column("text"))
+            numbers = known.numbers(known.look_up(hashes), kinds)
+            seen += np.bincount(numbers, minlength=len(seen))
+            learn(model, adam, numbers, first)
+        share = _spread(begin, seen, known.words)
+        moves = np.concatenate([(model.weights[k].astype(float) - v).ravel() for k, v in begin.items()])
+        sums = np.rint(moves * share / UNIT).astype(np.int64)
+        for low in range(0, len(sums), SLICE):
+            part = slice(low, low + SLICE)
+            if share[part].any():
+                yield _slice_row(low, sums[part], share[part])
+
+    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = [np.frombuffer(row[k], np.int64) for k in ("moves", "share")]
+                held[row["slice"]] = [a + b for a, b in zip(held[row["slice"]], own)] if row["slice"] in held else own
+        for low, (moves, share) in held.items():
+            yield _slice_row(low, (moves * UNIT / np.maximum(share, 1)).astype(np.float32), share[:0])
+
+    # Few tasks an executor core, so that what is averaged stays small beside the texts.
+    tasks = training.select("text").coalesce(4 * context.defaultParallelism)
+    kinds = "slice long, moves binary, share binary"
+    rows = tasks.mapInArrow(pass_over, kinds).repartition("slice").mapInArrow(average, kinds).collect()
+    flat = np.concatenate([v.ravel() for v in start.weights.values()])
+    for row in rows:
+        moves = np.frombuffer(row["moves"], np.float32)
+        flat[row["slice"] : row["slice"] + len(moves)] += moves
+    ends = np.cumsum([v.size for v in start.weights.values()])[:-1]
+    return GatedModel({
+        k: part.reshape(v.shape) for (k, v), part in zip(start.weights.items(), np.split(flat, ends), strict=True)
+    })
+
+
+def _slice_row(low: int, moves: np.ndarray, share: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([low]), pa.array([moves.tobytes()]), pa.array([share.tobytes()])], names=["slice", "moves", "share"]
+    )
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -186,7 +261,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         .groupBy("word").agg(F.sum("n").alias("n"), F.first("kind").alias("kind"))
     )
     vocabulary, total, distinct, per_number = _vocabulary(counts)
-    model = _fit(training, vocabulary, per_number)
+    model = _learned(training, vocabulary, _fit(training, vocabulary, per_number))
     shipped = spark.sparkContext.broadcast((vocabulary, model.weights))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +276,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             numbers = known.numbers(places, kinds)
             logs = np.zeros(len(hashes))
             logs[at_hand] = known.log_counts[places[at_hand]]
-            chances = np.where(numbers < WORDS, 0.0, logs - log_mass[kinds])
+            chances = np.where(numbers < known.words, 0.0, logs - log_mass[kinds])
             heads = first[:-1]
             model_logs = lm.text_scores(numbers, first) / np.log(10.0)
             tail = np.flatnonzero(~at_hand)
