@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Test items are a query set held against all documents, a block of bounded size at a time.
-Of each item the word n-grams that are rare in the whole corpus are seeds. Where a document
-has a seed, the words around it are aligned with the item; the score is that of the best local
+All word n-grams of an item that occur in the corpus are seeds; how rare they are only decides
+which place of a document is aligned first. Where a document has a seed, the words around it
+are aligned with the item, unless too few are the item's; the score is that of the best local
 alignment as a share of a perfect one, so edited, shortened or partly rewritten copies score
 by what is left of the item.
 """
@@ -17,17 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.llm.storage import free_name
-from tillscope.llm.textarrays import LETTER_WORDS, ngrams, pieces, utf8, words
+from tillscope.llm.textarrays import LETTER_WORDS, mix, ngrams, pieces, utf8, words
 
 SEED_WORDS = 3
-#: An n-gram this many times as frequent as the item's median n-gram is no seed.
-COMMON = 8
 # Items of at most about this many words are held against the documents at once.
 BLOCK_WORDS = 500_000
 
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 LEAST_SCORE = 0.4
 CELLS = 2_000_000
+# Sums of halves are exact; shares of them are not.
+TINY = 1e-9
 
 _SIEVE_BITS = 22
 
@@ -58,27 +59,20 @@ class Items:
         self.sieve = np.zeros(1 << _SIEVE_BITS, bool)
         self.sieve[grams & np.uint64((1 << _SIEVE_BITS) - 1)] = True
 
-    def keep_rare(self, counts: dict[int, int]) -> None:
-        """Use as seeds the n-grams that are not far commoner in the corpus than the item's others.
-
-        At least half of the item's n-grams that occur anywhere stay; the measure is the item's
-        own median, so an item all of whose passages are common keeps its seeds too.
-        """
+    def order_seeds(self, counts: dict[int, int]) -> None:
+        """Use as seeds all n-grams that occur in the corpus, however often, and know how often."""
         often = np.array([counts.get(g, 0) for g in self.grams.view(np.int64).tolist()], np.int64)
         own = often[np.searchsorted(self.grams, self.gram)]
-        order = np.lexsort((own, self.item))
-        order = order[own[order] > 0]
-        start = np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
-        size = np.diff(start)
-        filled = np.flatnonzero(size)
-        usual = np.zeros(len(self.ids), np.int64)
-        usual[filled] = own[order][start[filled] + size[filled] // 2]
-        rare = order[own[order] <= COMMON * usual[self.item[order]]]
-        rare = rare[np.argsort(self.gram[rare], kind="stable")]
-        self.item, self.place, self.gram = self.item[rare], self.place[rare], self.gram[rare]
+        seeds = np.flatnonzero(own > 0)
+        seeds = seeds[np.argsort(self.gram[seeds], kind="stable")]
+        self.item, self.place, self.gram = self.item[seeds], self.place[seeds], self.gram[seeds]
         self._look_for(np.unique(self.gram))
+        self.often = often[often > 0]
         self.start = np.searchsorted(self.gram, self.grams)
         self.stop = np.searchsorted(self.gram, self.grams, side="right")
+        self.lengths = np.array([len(w) for w in self.words], np.int64)
+        pairs = [_pair(np.full(len(w), i), w) for i, w in enumerate(self.words)]
+        self.pairs = np.unique(np.concatenate([*pairs, np.empty(0, np.uint64)]))
 
     def hits(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, word position and number of each n-gram found."""
@@ -101,26 +95,62 @@ class Items:
             hashes, _, first = words(part, at, LETTER_WORDS)
             text, position, number = self.hits(hashes, first)
             many = (self.stop - self.start)[number]
-            text, position = np.repeat(text, many), np.repeat(position, many)
+            text, position, number = (np.repeat(x, many) for x in (text, position, number))
             nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
-            entry = np.repeat(self.start[number], many) + nth
+            entry = self.start[number] + nth
             item, begin = self.item[entry], position - self.place[entry]
             if not len(item):
                 continue
-            windows = self._windows(text, item, begin, first)
-            scores = self._align(windows, hashes)
+            windows, often = self._windows(text, item, begin, first, self.often[number])
+            bounds = self._most(windows, hashes)
+            near = bounds >= self._least(windows[:, 1])
+            windows, often, bounds = windows[near], often[near], bounds[near]
+            # The place of the rarest seed comes first; others only if they can be as good.
+            order = np.lexsort((often, windows[:, 1], windows[:, 0]))
+            ahead = np.zeros(len(order), bool)
+            pairs = windows[order, :2]
+            ahead[order[np.flatnonzero(np.append(True, (pairs[1:] != pairs[:-1]).any(axis=1))[: len(order)])]] = True
+            scores = np.zeros(len(windows))
+            scores[ahead] = self._align(windows[ahead], hashes)
+            tops = scores[ahead]
+            nth = np.cumsum(np.append(True, (windows[1:, :2] != windows[:-1, :2]).any(axis=1))[: len(windows)]) - 1
+            again = ~ahead & (bounds >= tops[nth] * MATCH * self.lengths[windows[:, 1]] - TINY)
+            scores[again] = self._align(windows[again], hashes)
+            matched = scores * MATCH * self.lengths[windows[:, 1]] >= self._least(windows[:, 1]) - TINY
             best: dict[tuple[int, int], tuple[float, int, int]] = {}
-            for (t, i, low, high), score in zip(windows.tolist(), scores.tolist(), strict=True):
-                if score >= LEAST_SCORE and score > best.get((t, i), (0.0,))[0]:
+            for (t, i, low, high), score in zip(windows[matched].tolist(), scores[matched].tolist(), strict=True):
+                if score > best.get((t, i), (0.0,))[0]:
                     best[t, i] = score, low - int(first[t]), high - int(first[t])
             for (t, i), (score, low, high) in sorted(best.items()):
                 yield start + t, self.ids[i], score, low, high
 
-    def _windows(self, text, item, begin, first) -> np.ndarray:
-        """Stretches to align: seeds of an item that lie alike belong to one stretch."""
+    def _least(self, item: np.ndarray) -> np.ndarray:
+        """Score from which on an alignment with each item is a match."""
+        return LEAST_SCORE * MATCH * self.lengths[item]
+
+    def _most(self, windows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """A score no alignment can exceed: of each stretch, the words that are in its item."""
+        spans = windows[:, 3] - windows[:, 2]
+        result = np.zeros(len(windows))
+        low = 0
+        for high in [*np.flatnonzero(np.diff(np.cumsum(spans) // CELLS)) + 1, len(windows)]:
+            size = spans[low:high]
+            owner = np.repeat(np.arange(low, high), size)
+            at = np.arange(len(owner)) + np.repeat(windows[low:high, 2] - (np.cumsum(size) - size), size)
+            key = _pair(windows[owner, 1], hashes[at])
+            place = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            result += np.bincount(owner[self.pairs[place] == key], minlength=len(windows)) * MATCH
+            low = high
+        return result
+
+    def _windows(self, text, item, begin, first, often) -> tuple[np.ndarray, np.ndarray]:
+        """Stretches to align, and how often the rarest seed of each occurs in the corpus.
+
+        Seeds of an item that lie alike belong to one stretch.
+        """
         order = np.lexsort((begin, item, text))
-        text, item, begin = text[order], item[order], begin[order]
-        length = np.array([len(w) for w in self.words], np.int64)[item]
+        text, item, begin, often = text[order], item[order], begin[order], often[order]
+        length = self.lengths[item]
         slack = length // 3 + 2
         fresh = np.ones(len(text), bool)
         fresh[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > slack[1:])
@@ -129,7 +159,7 @@ class Items:
         text, item = text[head], item[head]
         low = np.maximum(begin[head] - slack[head], first[text])
         high = np.minimum(begin[last] + length[head] + slack[head], first[text + 1])
-        return np.stack([text, item, low, high], axis=1)
+        return np.stack([text, item, low, high], axis=1), np.minimum.reduceat(often, head)
 
     def _align(self, windows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Best local alignment of item and stretch, as a share of the item's own score.
@@ -168,6 +198,11 @@ class Items:
         return scores
 
 
+def _pair(item: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One number for an item's number and a word."""
+    return mix(word + mix(item.astype(np.uint64), 61))
+
+
 def _blocks(items: DataFrame) -> Iterator[Items]:
     """The test items in blocks of bounded size, dealt by a hash of the id."""
     rows = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
@@ -185,7 +220,7 @@ def _blocks(items: DataFrame) -> Iterator[Items]:
 
 
 def _seeded(docs: DataFrame, block: Items):
-    """The block, broadcast, after its seeds were chosen by their counts over all documents."""
+    """The block, broadcast, after its seeds were counted over all documents."""
     context = docs.sparkSession.sparkContext
     raw = context.broadcast(block)
 
@@ -203,7 +238,7 @@ def _seeded(docs: DataFrame, block: Items):
 
     counts = docs.select(F.lower("text").alias("text")).mapInArrow(count, "gram long, n long")
     rows = counts.groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    block.keep_rare({r["gram"]: r["n"] for r in rows})
+    block.order_seeds({r["gram"]: r["n"] for r in rows})
     return context.broadcast(block)
 
 
