@@ -18,3 +18,19 @@ def test_common_passages_are_found_too(spark):
     quote = " ".join(item.split()[:18])
     texts = [f"{prose(100 + i, 30)} {quote} {prose(400 + i, 30)}" for i in range(200)] + [item, prose(3, 50)]
     assert found(spark, texts, [item]) == {(i, 0) for i in range(201)}
+
+
+def test_long_and_short_items(spark):
+    """A long passage of a long item is a match, a lone trigram of a short item is none."""
+    long, middle = prose(5, 300), prose(6, 40)
+    short, tiny = "what is the tallest mountain of europe", "who wrote hamlet"
+    texts = [
+        f"{prose(7, 90)} {' '.join(long.split()[120:220])} {prose(8, 90)}",
+        f"{prose(9, 50)} {' '.join(middle.split()[10:25])} {prose(10, 50)}",
+        f"{prose(11, 50)} {' '.join(middle.split()[10:20])} {prose(12, 50)}",
+        f"{prose(13, 50)} what is the {prose(14, 50)}",
+        f"{prose(15, 50)} what is the tallest mountain of europe {prose(16, 50)}",
+        f"{prose(17, 50)} what is the highest mountain of europe {prose(18, 50)}",
+        f"{prose(19, 50)} who wrote hamlet {prose(20, 50)}",
+    ]
+    assert found(spark, texts, [long, middle, short, tiny]) == {(0, 0), (1, 1), (4, 2), (6, 3)}

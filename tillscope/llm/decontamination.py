@@ -25,7 +25,11 @@ SEED_WORDS = 3
 BLOCK_WORDS = 500_000
 
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
+# A match has this share of the item's own score, or the score of so many words in a row,
+# whatever the item's length; of short items it has so many words, or nearly all.
 LEAST_SCORE = 0.4
+LONG_WORDS = 13
+SHORT_WORDS, SHORT_SHARE = 6, 0.9
 CELLS = 2_000_000
 # Sums of halves are exact; shares of them are not.
 TINY = 1e-9
@@ -126,7 +130,9 @@ class Items:
 
     def _least(self, item: np.ndarray) -> np.ndarray:
         """Score from which on an alignment with each item is a match."""
-        return LEAST_SCORE * MATCH * self.lengths[item]
+        length = self.lengths[item]
+        short = np.minimum(SHORT_SHARE * length, SHORT_WORDS)
+        return MATCH * np.minimum(np.maximum(LEAST_SCORE * length, short), LONG_WORDS)
 
     def _most(self, windows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """A score no alignment can exceed: of each stretch, the words that are in its item."""
@@ -245,8 +251,9 @@ def _seeded(docs: DataFrame, block: Items):
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Matches of test items in documents: ``doc_id``, ``item_id``, ``score``, ``first_word``, ``end_word``.
 
-    One row per document row and item with a score of ``LEAST_SCORE`` or more; documents without
-    one have no row. Words are runs of letters and digits, lower-cased. Items of equal words
+    One row per document row and item that match; documents without a match have no row. The score
+    is a share of the item, and a match has ``LEAST_SCORE`` of it. A passage worth ``LONG_WORDS``
+    words is one in any item, and a short item needs ``SHORT_WORDS`` words or nearly all. Words are runs of letters and digits, lower-cased. Items of equal words
     are reported under their smallest id; items of fewer than ``SEED_WORDS`` words, or with
     null id or text, match nothing. Null and empty texts match nothing; a document with a null
     doc_id is reported with it. Rows repeated are reported each. Empty tables give an empty result.
