@@ -24,7 +24,8 @@ PARAGRAPH_ENDS = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "
     "nav ol p pre section table ul".split()
 )
-# Words in class, id and role that name parts which are not the article.
+# Words in class, id and role that name parts which are not the article. They bar
+# an element only if all of a name is made of them, and never what holds most of the article.
 NOT_ARTICLE = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead footer sidebar aside "
@@ -52,50 +53,97 @@ _BLANKS = re.compile(r"\s+")
 
 
 TAG_COST = 0.1
-BARRED = -0.1
+#: Log odds of a listed word that no learned page has.
+UNLEARNED = -2.0
 
 
 class Block(NamedTuple):
     """Text between two breaks, the number of tags before it and the names of where it stands."""
 
     text: str
-    tags: int
+    tags: float
     names: frozenset[str]
     barred: bool
     article: bool
 
 
-def _element_names(name: str, attributes: str, in_article: bool) -> tuple[frozenset[str], bool]:
-    """Names an element goes by, and whether they bar it from the article."""
-    given = set()
+class Part(NamedTuple):
+    """An element with listed words in its names: these words, and whether a name is all of them."""
+
+    listed: frozenset[str]
+    whole: bool
+
+
+def _element_names(name: str, attributes: str, in_article: bool) -> tuple[frozenset[str], bool, Part | None]:
+    """Names an element goes by, whether it is barred as such, and what its names say against it."""
+    given, listed, whole = set(), set(), False
     if "=" in attributes:
         for found in _NAMES.finditer(attributes):
-            given.update(w.lower() for w in _WORDS.findall(next(g for g in found.groups() if g is not None)))
-    bars = (given & NOT_ARTICLE) - (HEADERS if in_article else set())
+            for token in next(g for g in found.groups() if g is not None).lower().split():
+                parts = set(_WORDS.findall(token))
+                given |= parts
+                bars = (parts & NOT_ARTICLE) - (HEADERS if in_article else set())
+                listed |= bars
+                whole = whole or (bool(bars) and bars == parts)
+    if name in ("body", "html", *ARTICLE):
+        listed = set()
+    part = Part(frozenset(f".{w}" for w in listed), whole) if listed else None
     barred = name in HIDDEN or (name == "header" and not in_article)
-    barred = barred or (bool(bars) and name not in ("body", "html", *ARTICLE))
     if "hidden" in attributes and not barred:
         barred = "hidden" in re.split(r"[\s=/]+", _QUOTED.sub("", attributes))
-    return frozenset([name, *(f".{w}" for w in given)]), barred
+    return frozenset([name, *(f".{w}" for w in given - listed)]), barred, part
 
 
 def blocks(html: str) -> Iterator[Block]:
-    """Blocks of a page in order. Broken, unclosed and cut-off markup is taken as browsers do."""
-    stack: list[tuple[str, frozenset[str], bool, bool]] = []
+    """Blocks of a page in order. Broken, unclosed and cut-off markup is taken as browsers do.
+
+    A part whose name speaks against it counts as if it had no such name if it holds half of the
+    words in the page's articles, or, where none are marked, more than half of all words.
+    """
+    parts: list[Part] = []
+    found = list(_raw_blocks(html, parts))
+    words, in_article = Counter[int](), Counter[int]()
+    total = total_in_article = 0
+    for block, inside, _ in found:
+        n = len(block.text.split())
+        own = n if block.article and not block.barred else 0
+        total, total_in_article = total + n, total_in_article + own
+        for k in inside:
+            words[k] += n
+            in_article[k] += own
+    if total_in_article:
+        stands = [2 * in_article[k] < total_in_article for k in range(len(parts))]
+    else:
+        stands = [2 * words[k] <= total for k in range(len(parts))]
+    for block, inside, tags in found:
+        held = [parts[k] for k in inside if stands[k]]
+        yield block._replace(
+            # Tags in barred parts are no more of the article than their words.
+            tags=sum(n for at, n in tags.items() if not any(stands[k] and parts[k].whole for k in at)),
+            names=block.names.union(*(part.listed for part in held)),
+            barred=block.barred or any(part.whole for part in held),
+        )
+
+
+def _raw_blocks(html: str, known: list[Part]) -> Iterator[tuple[Block, tuple[int, ...], dict[tuple[int, ...], int]]]:
+    """Blocks, the numbers of the parts in ``known`` that hold them, and of those that hold their tags."""
+    stack: list[tuple[str, frozenset[str], bool, bool, tuple[int, ...]]] = []
     opened: Counter[str] = Counter()
     names: frozenset[str] = frozenset()
     barred = article = False
+    inside: tuple[int, ...] = ()
     parts: list[str] = []
-    tags, at, size = 0, 0, len(html)
+    tags: dict[tuple[int, ...], int] = {}
+    at, size = 0, len(html)
 
-    def flush() -> Block | None:
+    def flush() -> tuple[Block, tuple[int, ...], dict[tuple[int, ...], int]] | None:
         nonlocal tags
         text = _BLANKS.sub(" ", unescape("".join(parts))).strip()
         parts.clear()
         if not text:
             return None
-        block = Block(text, tags, names, barred, article)
-        tags = 0
+        block = Block(text, 0, names, barred, article), inside, tags
+        tags = {}
         return block
 
     while at < size:
@@ -109,7 +157,8 @@ def blocks(html: str) -> Iterator[Block]:
         if name is None:
             continue
         name = name.lower()
-        tags += 1
+        if not barred:
+            tags[inside] = tags.get(inside, 0) + 1
         closing = (token["close"] if token["name"] else token["close2"]) == "/"
         attributes = (token["attributes"] if token["name"] else token["attributes2"]) or ""
         if name not in INLINE and (block := flush()):
@@ -117,19 +166,19 @@ def blocks(html: str) -> Iterator[Block]:
         if closing:
             while opened[name]:
                 # An element's end also ends what was left open in it.
-                open_name, names, barred, article = stack.pop()
+                open_name, names, barred, article, inside = stack.pop()
                 opened[open_name] -= 1
                 if open_name == name:
                     break
             continue
         if name in PARAGRAPH_ENDS and opened["p"]:
             while stack and (stack[-1][0] == "p" or stack[-1][0] in INLINE):
-                open_name, names, barred, article = stack.pop()
+                open_name, names, barred, article, inside = stack.pop()
                 opened[open_name] -= 1
                 if open_name == "p":
                     break
         if name in ("li", "option", "tr", "td", "th", "dt", "dd") and stack and stack[-1][0] == name:
-            _, names, barred, article = stack.pop()
+            _, names, barred, article, inside = stack.pop()
             opened[name] -= 1
         if name in VOID or attributes.endswith("/"):
             continue
@@ -137,9 +186,12 @@ def blocks(html: str) -> Iterator[Block]:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
             at = end.end() if end else size
             continue
-        own, bars = _element_names(name, attributes, article)
-        stack.append((name, names, barred, article))
+        own, bars, part = _element_names(name, attributes, article)
+        stack.append((name, names, barred, article, inside))
         opened[name] += 1
+        if part:
+            known.append(part)
+            inside = (*inside, len(known) - 1)
         names, barred, article = names | own, barred or bars, article or name in ARTICLE
     if block := flush():
         yield block
@@ -160,11 +212,14 @@ class Weights:
     def word(self, block: Block) -> float:
         """Score of a word of the block: negative in parts that are none of the article.
 
-        A barred part costs little: it is left out in any case, and an article goes on after it.
+        A barred part counts nothing: it is left out in any case, and an article goes on after it.
         """
         if block.barred:
-            return BARRED
-        odds = sum(self.odds.get(n, 0.0) for n in block.names if n not in GENERIC)
+            return 0.0
+        odds = sum(
+            self.odds.get(n, UNLEARNED if n[1:] in NOT_ARTICLE and n[0] == "." else 0.0)
+            for n in block.names if n not in GENERIC
+        )
         return max(-1.0, min(1.0, 0.25 + odds / 4.0))
 
 
@@ -197,6 +252,8 @@ def main_text(html: str, weights: Weights) -> str:
     parts: list[tuple[str, bool]] = []
     for i, block in enumerate(blocks(html)):
         parts.append((block.text, block.barred))
+        if block.barred:
+            continue
         score = weights.word(block) * len(block.text.split())
         # Tags before the first block of a run lie outside it.
         total = total - weights.tag_cost * block.tags if total > 0 else 0.0
