@@ -7,6 +7,8 @@ word stays with the language. Forward-backward gives each word's probability per
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -179,10 +181,14 @@ def train(texts: list[str], labels: list[str], seed: int = 0) -> LanguageCrf:
     squares = np.full(model.weights.shape, 1e-3, np.float32)
     move_squares = np.full(model.moves.shape, 1e-3)
     per_step = TRAIN_BATCH * TRAIN_LENGTH
-    for _ in range(EPOCHS):
+    if not len(index):
+        return model
+    # Few words are gone over more often, so that they are learned too.
+    epochs = max(EPOCHS, 2 * EPOCHS * per_step // max(len(index), per_step // 4))
+    for _ in range(epochs):
         order = np.concatenate([runs[i] for i in chance.permutation(len(runs))])
-        for low in range(0, len(order) - per_step + 1, per_step):
-            at = order[low : low + per_step].reshape(TRAIN_BATCH, TRAIN_LENGTH)
+        for at in _sequences(order, per_step):
+            rows = len(at)
             distinct, place = np.unique(index[at], return_inverse=True)
             place = place.reshape(at.shape)
             spans = [numbers[starts[w] : starts[w + 1]] for w in distinct]
@@ -196,15 +202,26 @@ def train(texts: list[str], labels: list[str], seed: int = 0) -> LanguageCrf:
             fresh, where = np.unique(used, return_inverse=True)
             change = np.zeros((len(fresh), len(names)))
             np.add.at(change, where, np.repeat(per_word, lengths, axis=0))
-            change = (change / TRAIN_BATCH + DECAY * model.weights[fresh]).astype(np.float32)
+            change = (change / rows + DECAY * model.weights[fresh]).astype(np.float32)
             squares[fresh] += change**2
             model.weights[fresh] -= RATE * change / np.sqrt(squares[fresh])
-            move_slope = move_slope / TRAIN_BATCH + 1e-4 * model.moves
+            move_slope = move_slope / rows + 1e-4 * model.moves
             move_squares += move_slope**2
             model.moves -= RATE * move_slope / np.sqrt(move_squares)
     return model
 
 
+def _sequences(order: np.ndarray, per_step: int) -> Iterator[np.ndarray]:
+    """Sequences of a step each; the last step has fewer, and what is left is one shorter sequence."""
+    for low in range(0, len(order), per_step):
+        part = order[low : low + per_step]
+        whole = len(part) // TRAIN_LENGTH * TRAIN_LENGTH
+        if whole:
+            yield part[:whole].reshape(-1, TRAIN_LENGTH)
+        if whole < len(part):
+            yield part[whole:].reshape(1, -1)
+
+
 def _gradient(scores: np.ndarray, moves: np.ndarray, gold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Expected minus true counts, of words' labels and of transitions, over equal-long sequences."""
     rows, length, n = scores.shape

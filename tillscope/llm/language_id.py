@@ -16,7 +16,6 @@ from tillscope.llm.textarrays import pieces, utf8
 TRAIN_DOCUMENTS = 250
 TRAIN_CHARACTERS = 4_000
 UNKNOWN = "und"
-LEAST_SHARE = 0.5
 
 
 def remainder(modulus: int) -> Column:
@@ -98,10 +97,11 @@ def _named(crf: LanguageCrf, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordB
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """Documents in one identifiable language, columns as they were; the others are rejected.
+    """Documents in identifiable languages, columns as they were; the others are rejected.
 
-    Rejected are texts without a letter and those of which no language has half the words. Where
-    no document is labelled, nothing can be told apart and all documents stay.
+    Rejected are those ``predict_languages`` calls ``und``: null texts and texts without a letter.
+    Texts that mix languages stay, however evenly. Where no document is labelled, nothing can be
+    told apart and all documents stay.
     """
     fitted = fit(docs)
     if not fitted.labels:
@@ -111,7 +111,7 @@ def identified(docs: DataFrame) -> DataFrame:
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crf = LanguageCrf(*model.value)
         for batch in batches:
-            for part, names, scores in _named(crf, batch):
-                yield part.filter(pa.array((names != UNKNOWN) & (scores >= LEAST_SHARE)))
+            for part, names, _ in _named(crf, batch):
+                yield part.filter(pa.array(names != UNKNOWN))
 
     return docs.mapInArrow(sift, docs.schema)
