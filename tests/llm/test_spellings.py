@@ -1,0 +1,28 @@
+"""One number written in several ways has one bare pseudonym."""
+
+import re
+
+from tests.llm.test_pseudonyms import iban_ok, luhn
+from tillscope.llm.pseudonyms import pseudonymised
+
+SPELLINGS = [
+    ["4539578763621486", "4539 5787 6362 1486", "4539-5787-6362-1486", "4539578 763621486"],
+    ["GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32", "GB82WEST 1234 5698 7654 32"],
+    ["+1 (437) 555-0689", "+14375550689", "+1-437-555-0689", "+1 437.555.0689"],
+    ["+49 30 1234567", "+49301234567", "+4930 123 4567"],
+    ["(212) 555-1234", "212-555-1234", "212.555.1234", "(212)555 1234"],
+]
+
+
+def test_spellings_are_linked(spark):
+    rows = [(k, value) for k, group in enumerate(SPELLINGS) for value in group]
+    frame = spark.createDataFrame([(k, f"see {v}, ok") for k, v in rows], "doc_id long, text string")
+    bare = [set() for _ in SPELLINGS]
+    for (k, value), row in zip(rows, pseudonymised(frame, "key").collect(), strict=True):
+        fresh = row.text[4:-4]
+        assert row.n_values == 1 and fresh != value
+        assert re.sub("[A-Za-z0-9]", "", fresh) == re.sub("[A-Za-z0-9]", "", value) and len(fresh) == len(value)
+        bare[k].add(re.sub("[^A-Za-z0-9]", "", fresh))
+    assert [len(b) for b in bare] == [1] * len(SPELLINGS)
+    assert luhn(min(bare[0])) == luhn(SPELLINGS[0][0]) and iban_ok(min(bare[1]))
+    assert min(bare[2]).startswith("1") and min(bare[3]).startswith("49")

@@ -3,12 +3,16 @@
 A value is split in two halves. In each round of a Feistel network the characters of one half are
 shifted, each within its own kind (digit, small letter, capital letter, or hexadecimal digit), by
 a keyed hash of the other half. Whoever has the key can undo it; a value always gets the
-same pseudonym, different values of one format get different ones, and punctuation stays.
+same pseudonym, different values of one format get different ones, and punctuation stays. Of cards,
+accounts and phones the bare digits and letters are permuted and then take the places they had
+among the separators, so all spellings of a number are linked.
 Everything is built from Spark's own functions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +35,9 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
+# Calling codes of countries (ITU E.164); those not listed here have three digits.
+COUNTRY = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+
 FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
 DAYS = 73_049
 # Numbers of days are permuted among five-digit numbers, again until one is a day.
@@ -77,6 +84,24 @@ def permuted(value: Column, key: str, kind: str, hexadecimal: bool = False) -> C
     )
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed a single time however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _laid_out(value: Column, bare: Column) -> Column:
+    """``value`` with the characters of ``bare`` in the places of its letters and digits."""
+    def place(state: Column, c: Column) -> Column:
+        own = c.rlike("[A-Za-z0-9]")
+        fresh = F.when(own, F.substring(bare, state["used"] + 1, F.lit(1))).otherwise(c)
+        return F.struct(
+            F.concat(state["text"], fresh).alias("text"), (state["used"] + own.cast("int")).alias("used")
+        )
+
+    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("used"))
+    return F.aggregate(_characters(value), start, place, lambda s: s["text"])
+
+
 def _luhn(digits: Column) -> Column:
     """Check digit of a number without it (Luhn)."""
     def worth(c: Column, i: Column) -> Column:
@@ -89,11 +114,14 @@ def _luhn(digits: Column) -> Column:
 
 def _number(value: Column, key: str) -> Column:
     """All digits but the last are permuted; the last one keeps its distance from the check digit."""
-    body = F.substring(value, F.lit(1), F.length(value) - 1)
-    fresh = permuted(body, key, "number")
-    off = F.right(value, F.lit(1)).cast("int") - _luhn(F.regexp_replace(body, "[^0-9]", ""))
-    last = F.pmod(_luhn(F.regexp_replace(fresh, "[^0-9]", "")) + off, F.lit(10))
-    return F.concat(fresh, last.cast("string"))
+    bare = F.regexp_replace(value, "[^0-9]", "")
+    body = F.substring(bare, F.lit(1), F.length(bare) - 1)
+    off = F.right(bare, F.lit(1)).cast("int") - _luhn(body)
+
+    def whole(fresh: Column) -> Column:
+        return F.concat(fresh, F.pmod(_luhn(fresh) + off, F.lit(10)).cast("string"))
+
+    return _once(_once(permuted(body, key, "number"), whole), lambda bare: _laid_out(value, bare))
 
 
 def _remainder_97(account: Column) -> Column:
@@ -110,11 +138,15 @@ def _remainder_97(account: Column) -> Column:
 def _iban(value: Column, key: str) -> Column:
     """Account part permuted and check digits made anew; an invalid number stays as it is."""
     plain = F.regexp_replace(value, " ", "")
-    fresh = permuted(F.substring(value, F.lit(5), F.length(value)), key, "iban")
     land = F.substring(value, 1, 2)
-    check = 98 - _remainder_97(F.concat(land, F.lit("00"), F.regexp_replace(fresh, " ", "")))
+
+    def whole(fresh: Column) -> Column:
+        check = 98 - _remainder_97(F.concat(land, F.lit("00"), fresh))
+        return F.concat(land, F.lpad(check.cast("string"), 2, "0"), fresh)
+
+    account = permuted(F.substring(plain, F.lit(5), F.length(plain)), key, "iban")
     return F.when(
-        _remainder_97(plain) == 1, F.concat(land, F.lpad(check.cast("string"), 2, "0"), fresh)
+        _remainder_97(plain) == 1, _once(_once(account, whole), lambda bare: _laid_out(value, bare))
     ).otherwise(value)
 
 
@@ -159,10 +191,12 @@ def _date(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    """Digits after the country's code."""
-    land = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
-    rest = F.substring(value, F.length(land) + 1, F.length(value))
-    return F.concat(land, permuted(rest, key, "phone"))
+    """Digits after the country's code, which the digits tell whatever stands between them."""
+    bare = F.regexp_replace(value, "[^0-9+]", "")
+    land = F.regexp_extract(bare, COUNTRY, 0)
+    fresh = permuted(F.substring(bare, F.length(land) + 1, F.length(bare)), key, "phone")
+    digits = F.concat(F.regexp_replace(land, r"\+", ""), fresh)
+    return _once(digits, lambda bare: _laid_out(value, bare))
 
 
 def _email(value: Column, key: str) -> Column:
@@ -199,7 +233,7 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     Found are e-mail addresses, IBANs, hexadecimal secrets, IPv4 addresses, dates of 1900 to 2099,
     national and phone numbers and numbers of 13 to 19 digits. Numbers with check digits stay
     valid, or as wrong as they were; strings that only look like an IBAN or a date stay. A value
-    written alike has one pseudonym in all documents. Null text stays null with 0 values; rows
+    has one pseudonym in all documents, and cards, IBANs and phones have it however they are spaced. Null text stays null with 0 values; rows
     repeated are treated each; an empty table gives an empty result. Other columns are not read.
     """
     text = F.col("text")
