@@ -32,7 +32,8 @@ from tillscope.llm.textarrays import mix, pieces, shingles, utf8, words
 WIDTH = 5
 PERCENT = 75
 
-# 60 bands of five registers: a pair of similarity 0.75 shares none with probability 1e-7.
+# Two regroupings of the same registers in 30 bands of five: a pair of similarity 0.75 shares no
+# band with probability 2.4e-6.
 BAND_WIDTH = 5
 BAND_ORDERS = 2
 # Pairs likelier below this are dropped before the exact check; it is five standard errors
