@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.llm import (
     decontamination, exact_dedup, importance, language_id, lm_scoring, mixing, near_dedup,
-    page_text, pseudonyms, substring_dedup,
+    page_text, pseudonyms, substring_dedup, winnowing,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(documents(spark, folder), items)
 
 
+def op11_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.fingerprinted(documents(spark, folder))
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_near_dedup": op2_near_dedup,
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op8_importance_resampling": op8_importance_resampling,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_decontamination": op10_decontamination,
+    "op11_winnowing": op11_winnowing,
 }
 
 # SQL for the operators that SQL can express on whole tables.
