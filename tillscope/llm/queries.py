@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.llm import (
     decontamination, exact_dedup, importance, language_id, lm_scoring, mixing, near_dedup,
-    page_text, pseudonyms, substring_dedup, winnowing,
+    page_text, prefix_trie, pseudonyms, substring_dedup, winnowing,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op11_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.fingerprinted(documents(spark, folder))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_near_dedup": op2_near_dedup,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op9_pseudonyms": op9_pseudonyms,
     "op10_decontamination": op10_decontamination,
     "op11_winnowing": op11_winnowing,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 # SQL for the operators that SQL can express on whole tables.
@@ -185,4 +190,49 @@ WITH rows AS (
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, text_sha256
 FROM rows WINDOW same AS (PARTITION BY text_sha256)""",
+    # The checksum is that of zip files: its bits are shifted out one at a time.
+    "op12_prefix_trie": """
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+  SELECT c, count(*) AS n, c - (c % 20 + 20) % 20 AS first,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+               list_transform(range(1, len(CAST(c AS VARCHAR)) + 1),
+                              lambda i: CAST(ascii(CAST(c AS VARCHAR)[i]) AS BIGINT))),
+             lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+                                      lambda v, j: xor(v >> 1, (v & 1) * 3988292384))), 4294967295) % 4 AS h
+  FROM turns GROUP BY c
+), shared AS (
+  SELECT s.c, s.first, s.h, least(s.h, coalesce(f.n, 0)) AS taken
+  FROM sizes AS s LEFT JOIN sizes AS f ON s.first = f.c
+), rebuilt AS (
+  SELECT c, k - h + taken AS d, r, x FROM turns JOIN shared USING (c) WHERE k > h
+  UNION ALL
+  SELECT shared.c, k, r, x FROM shared JOIN turns ON turns.c = first WHERE k <= taken
+), whole AS (
+  SELECT c, list({'r': r, 'x': x} ORDER BY d) AS s FROM rebuilt GROUP BY c
+), members AS (
+  SELECT c, d, s[1:d] AS path, len(s) = d AS ends, len(regexp_extract_all(s[d].x, '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM whole, LATERAL (SELECT unnest(range(1, len(s) + 1)) AS d)
+  UNION ALL
+  SELECT sizes.c, 0, [], whole.c IS NULL, 0 FROM sizes LEFT JOIN whole USING (c)
+), nodes AS (
+  SELECT path, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends) AS ids
+  FROM members GROUP BY path
+), children AS (
+  SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), valued AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children, CAST(n IS NULL AS BIGINT) AS leaf, (n_convs - 1) * words AS saved
+  FROM nodes LEFT JOIN children ON nodes.path = children.path
+), sums AS (
+  SELECT path[1:d] AS path, CAST(sum(leaf) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM valued, LATERAL (SELECT unnest(range(depth + 1)) AS d) GROUP BY ALL
+)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+       sums.n_leaves, sums.saved_tokens, sha256(coalesce(v.ids, '')) AS ends_sha256
+FROM valued AS v JOIN sums ON v.path = sums.path
+LEFT JOIN nodes AS up ON v.depth > 0 AND v.path[1:v.depth - 1] = up.path""",
 }
