@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.llm import (
     decontamination, exact_dedup, importance, language_id, lm_scoring, mixing, near_dedup,
-    page_text, prefix_trie, pseudonyms, substring_dedup, winnowing,
+    page_text, prefix_trie, pseudonyms, substring_dedup, token_alignment, winnowing,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,10 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(spark.read.parquet(f"{folder}/conversations.parquet"))
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align_tokens(documents(spark, folder))
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_near_dedup": op2_near_dedup,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op10_decontamination": op10_decontamination,
     "op11_winnowing": op11_winnowing,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 # SQL for the operators that SQL can express on whole tables.
