@@ -32,6 +32,11 @@ def build_parser() -> argparse.ArgumentParser:
     )
     parser.add_argument("--task", choices=[*TASKS, "all"], help="task to run, instead of a command")
     parser.add_argument("-o", "--output", help=f"folder of the results ({REPORTS})")
+    parser.add_argument(
+        "--totals", metavar="DIR", help="keep totals in this shared folder and read only sales files that are new"
+    )
+    parser.add_argument("--from-month", type=_month, metavar="YYYY-MM", help="first month of the results")
+    parser.add_argument("--to-month", type=_month, metavar="YYYY-MM", help="last month of the results")
     parser.add_argument("--work-dir", help="folder all executors share (spark.checkpoint.dir)")
     parser.add_argument("--spark-master", help="such as local[4] or spark://host:port")
     parser.add_argument("--spark-executor-memory", help="such as 8g (default: the cluster's)")
@@ -54,6 +59,20 @@ def build_parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _month(text: str) -> tuple[int, int]:
+    year, month = (int(part) for part in text.split("-"))
+    if not 1 <= month <= 12:
+        raise ValueError(text)
+    return year, month
+
+
+def months(args: argparse.Namespace) -> tuple[tuple[int, int], tuple[int, int]] | None:
+    """First and last month asked for; an open end takes all months on its side."""
+    if not (args.from_month or args.to_month):
+        return None
+    return args.from_month or (0, 1), args.to_month or (9999, 12)
+
+
 def _default(task: str, index: int) -> str:
     return f"{REPORTS}/{TASKS[task][index].file}"
 
@@ -96,6 +115,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         spark_settings(args),
         database=args.database,
         in_cents=args.in_cents,
+        totals_dir=args.totals,
+        months=months(args),
         spark=spark,
     )
     try:

@@ -1,4 +1,4 @@
-"""Run the analyses from files: read once, total once, write and report each result."""
+"""Run the analyses from files: read once, check and total in that pass, write and report each result."""
 
 from __future__ import annotations
 
@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.functions.measures import as_double
 from tillscope.operators.cleaning import clean
-from tillscope.operators.quality import quality_report
+from tillscope.operators.quality import CHECKS, merchant_report, quality_report, row_checks
 from tillscope.plans import insights, results
-from tillscope.plans.cube import SIDES, SalesCube
+from tillscope.plans.cube import SIDES, Month, SalesCube
+from tillscope.plans.kept import KeptTotals, SubCentAmounts
 from tillscope.session import create_session
 from tillscope.sinks.catalog import DATABASE, write_layers, write_table
 from tillscope.sinks.files import save_results
@@ -99,7 +100,9 @@ class SparkJob:
 
     ``use_hive`` selects catalog mode: results also become tables of ``database``.
     ``in_cents`` declares that amounts have at most two decimals; sums are then exact and
-    repeatable. Without it they are sums of doubles.
+    repeatable. Without it they are sums of doubles. ``totals_dir`` names a folder where totals are
+    kept between runs: a run then reads only the sales files that are new. ``months`` limits the
+    results to the months from the first to the last one, as ``(year, month)``.
     """
 
     def __init__(
@@ -111,6 +114,8 @@ class SparkJob:
         *,
         database: str = DATABASE,
         in_cents: bool = False,
+        totals_dir: str | None = None,
+        months: tuple[Month, Month] | None = None,
         spark: SparkSession | None = None,
     ):
         self.transactions_path = transactions_path
@@ -120,8 +125,7 @@ class SparkJob:
         self.in_cents = in_cents
         self.spark = spark or create_session(catalog=use_hive, conf=spark_config)
         self._owns_session = spark is None
-        self._cube = SalesCube(self.spark)
-        self._checked = False
+        self._cube = KeptTotals(self.spark, totals_dir, months) if totals_dir else SalesCube(self.spark, months)
         self._kept: list[DataFrame] = []
 
     # --- inputs -------------------------------------------------------------------------
@@ -138,36 +142,48 @@ class SparkJob:
 
     def quality(self) -> DataFrame:
         """Rows of the inputs that fail a check; in cents mode amounts must be whole cents."""
-        now = datetime.now(UTC).replace(tzinfo=None)
         return quality_report(
-            self.transactions(), self.merchants(), now, raw_merchants(self.spark, self.merchants_path)
+            self.transactions(), self.merchants(), _now(), raw_merchants(self.spark, self.merchants_path)
         )
 
     def check(self) -> None:
-        """Print the quality report once; refuse amounts that whole cents would change."""
-        if self._checked:
-            return
-        report = self.quality().collect()
+        """Print the quality report alone; refuse amounts that whole cents would change."""
+        self._report({row["check"]: row["failing_rows"] for row in self.quality().collect()})
+
+    def _report(self, failing: Mapping[str, int]) -> None:
         _title("INPUT CHECKS")
-        for row in report:
-            print(f"{row['check']}: {row['failing_rows']}")
-        failing = {row["check"]: row["failing_rows"] for row in report}
+        for check in CHECKS:
+            print(f"{check}: {failing[check]}")
         if self.in_cents and failing["sub_cent_amount"]:
-            raise ValueError(
-                f"{failing['sub_cent_amount']} amount(s) are not whole cents; run without --in-cents"
-            )
-        self._checked = True
+            raise SubCentAmounts(failing["sub_cent_amount"])
 
     def totals(self, sides: Sequence[str] = tuple(SIDES)) -> SalesCube:
-        """Sales totals of the whole input; each side is computed on first use."""
-        self.check()
+        """Sales totals of the whole input; each side is computed on first use, in one scan.
+
+        The first scan counts the checks too. Amounts that are no whole cents where these were
+        declared end the run before any result is written.
+        """
         first = not self._cube.sides
-        self._cube.build(self.transactions(), self.merchants(), sides=sides, in_cents=self.in_cents)
+        if not first and isinstance(self._cube, KeptTotals):
+            return self._cube
+        sales = self.transactions()
+        options = {"in_cents": self.in_cents, "checks": row_checks(sales, _now())}
+        if isinstance(self._cube, KeptTotals):
+            files = self._cube.update(self.transactions_path, self.merchants(), **options)
+            print(f"{files} new sales file(s) read")
+        else:
+            self._cube.build(sales, self.merchants(), sides=sides, **options)
         if first:
+            raw = raw_merchants(self.spark, self.merchants_path)
+            of_merchants = {row["check"]: row["failing_rows"] for row in merchant_report(self.merchants(), raw).collect()}
+            unmatched = self._cube.unmatched().first()["failing_rows"]
+            self._report({**self._cube.failing, "unmatched_merchant": unmatched, **of_merchants})
             _title("DATA")
             if "merchant" in sides:
                 insights.dataset_profile(self._cube.by_merchant).show(truncate=False)
-            _show("Sample rows", clean(self.transactions().limit(5), self.merchants()), 5)
+            # Taken first: a limit below a join would open every file.
+            sample = self.spark.createDataFrame(sales.take(5), sales.schema)
+            _show("Sample rows", clean(sample, self.merchants()), 5)
         return self._cube
 
     # --- tasks --------------------------------------------------------------------------
@@ -301,6 +317,10 @@ class SparkJob:
             self.spark.stop()
 
 
+def _now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
+
+
 def _title(text: str) -> None:
     print(f"\n=== {text} ===")
 

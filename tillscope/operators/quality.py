@@ -1,4 +1,8 @@
-"""Checks on the inputs, in one pass over each."""
+"""Checks on the inputs, in one pass over each.
+
+A run counts the checks on single sales (:func:`row_checks`) in the pass that builds its totals; a
+report by itself (:func:`quality_report`) takes a pass of its own.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Lines of the report, in order.
+CHECKS = (
+    "null_merchant_id", "negative_amount", "future_date", "sub_cent_amount", "unmatched_merchant",
+    "duplicate_merchant_id", "bad_merchant_field",
+)
+
+
+def row_checks(transactions: DataFrame, report_time: datetime | str) -> dict[str, Column]:
+    """Conditions that single sales fail a check on; ``report_time`` stands for "now"."""
+    now: Column = F.lit(str(report_time)).cast(transactions.schema["purchase_date"].dataType)
+    hundredfold = F.col("purchase_amount").cast("double") * 100
+    return {
+        "null_merchant_id": F.col("merchant_id").isNull(),
+        "negative_amount": F.col("purchase_amount") < 0,
+        "future_date": F.col("purchase_date") > now,
+        # A cent amount held as a double may be off by its last bits, never by a thousandth.
+        "sub_cent_amount": F.abs(hundredfold - F.rint(hundredfold)) > F.lit(1e-3),
+    }
+
+
 def quality_report(
     transactions: DataFrame,
     merchants: DataFrame,
@@ -22,47 +46,42 @@ def quality_report(
     ``report_time`` stands for "now", so that the report can be repeated. Sales are summed
     per merchant first; only those sums are joined to the merchants.
     """
-    now: Column = F.lit(str(report_time)).cast(transactions.schema["purchase_date"].dataType)
-    hundredfold = F.col("purchase_amount").cast("double") * 100
-    # A cent amount held as a double may be off by its last bits, never by a thousandth.
-    sub_cent = F.abs(hundredfold - F.rint(hundredfold)) > F.lit(1e-3)
+    checks = row_checks(transactions, report_time)
     per_merchant = transactions.groupBy("merchant_id").agg(
         F.count(F.lit(1)).alias("sales"),
-        F.count_if(F.col("purchase_amount") < 0).alias("negative"),
-        F.count_if(F.col("purchase_date") > now).alias("future"),
-        F.count_if(sub_cent).alias("sub_cent"),
-    )
-    copies = (
-        merchants.where(F.col("merchant_id").isNotNull())
-        .groupBy("merchant_id")
-        .agg(F.count(F.lit(1)).alias("copies"))
+        *[F.count_if(condition).alias(name) for name, condition in checks.items()],
     )
-    no_id = F.col("merchant_id").isNull()
+    copies = _copies(merchants)
+    no_merchant = F.col("copies").isNull() & F.col("merchant_id").isNotNull()
     sales_checks = (
         per_merchant.join(copies, "merchant_id", "left")
         .agg(
-            _sum_where(no_id, "sales").alias("null_merchant_id"),
-            _sum_where(F.lit(True), "negative").alias("negative_amount"),
-            _sum_where(F.lit(True), "future").alias("future_date"),
-            _sum_where(F.lit(True), "sub_cent").alias("sub_cent_amount"),
-            _sum_where(F.col("copies").isNull() & ~no_id, "sales").alias("unmatched_merchant"),
-        )
-        .unpivot(
-            [],
-            ["null_merchant_id", "negative_amount", "future_date", "sub_cent_amount", "unmatched_merchant"],
-            "check",
-            "failing_rows",
+            *[_sum_where(F.lit(True), name).alias(name) for name in checks],
+            _sum_where(no_merchant, "sales").alias("unmatched_merchant"),
         )
+        .unpivot([], [*checks, "unmatched_merchant"], "check", "failing_rows")
     )
-    duplicates = copies.agg(
+    return sales_checks.unionByName(merchant_report(merchants, raw_merchants))
+
+
+def merchant_report(merchants: DataFrame, raw_merchants: DataFrame | None = None) -> DataFrame:
+    """The checks on merchants alone, as ``(check, failing_rows)``."""
+    report = _copies(merchants).agg(
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("failing_rows")
     ).select(F.lit("duplicate_merchant_id").alias("check"), "failing_rows")
-    report = sales_checks.unionByName(duplicates)
     if raw_merchants is not None:
         report = report.unionByName(_bad_fields(raw_merchants))
     return report
 
 
+def _copies(merchants: DataFrame) -> DataFrame:
+    return (
+        merchants.where(F.col("merchant_id").isNotNull())
+        .groupBy("merchant_id")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+
+
 def _bad_fields(raw_merchants: DataFrame) -> DataFrame:
     """Merchants whose city or state is text that is not a number, and is read as empty."""
     bad = F.lit(False)

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope import schema
 
 
-def load_transactions(spark: SparkSession, path: str) -> DataFrame:
-    """Sales from Parquet, checked against the declared columns.
+def load_transactions(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Sales from Parquet (a path, or several), checked against the declared columns.
 
     The stored column types are read as they are and conformed, so a file that holds
     zone-free timestamps or decimal amounts keeps them.
     """
-    return schema.conform(spark.read.parquet(path), schema.TRANSACTIONS, path)
+    paths = [path] if isinstance(path, str) else list(path)
+    return schema.conform(spark.read.parquet(*paths), schema.TRANSACTIONS, paths[0])
 
 
 def load_merchants(spark: SparkSession, path: str) -> DataFrame:
