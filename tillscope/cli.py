@@ -54,7 +54,11 @@ def build_parser() -> argparse.ArgumentParser:
         "--output-dir", "-o", dest="path", default=_default("5", 0).rsplit("/", 1)[0]
     )
     commands.add_parser("run-all")
-    commands.add_parser("load-raw-data")
+    command = commands.add_parser("load-raw-data")
+    command.add_argument("--buckets", type=int, help="lay the raw tables out in so many buckets by merchant")
+    command.add_argument(
+        "--replace-months", action="store_true", help="replace only the months that the input has"
+    )
     commands.add_parser("check")
     return parser
 
@@ -93,7 +97,7 @@ def execute(job: SparkJob, args: argparse.Namespace) -> None:
     elif args.command == "run-all":
         job.run_all_tasks(args.output)
     elif args.command == "load-raw-data":
-        job.load_raw_data()
+        job.load_raw_data(buckets=args.buckets, replace_months=args.replace_months)
     elif args.command == "check":
         job.check()
     elif args.command == "task4":

@@ -15,7 +15,7 @@ from tillscope.plans import insights, results
 from tillscope.plans.cube import SIDES, Month, SalesCube
 from tillscope.plans.kept import KeptTotals, SubCentAmounts
 from tillscope.session import create_session
-from tillscope.sinks.catalog import DATABASE, write_layers, write_table
+from tillscope.sinks.catalog import DATABASE, REPLACE_PARTITIONS, write_layers, write_table
 from tillscope.sinks.files import save_results
 from tillscope.sources.files import load_merchants, load_transactions, raw_merchants
 
@@ -299,12 +299,17 @@ class SparkJob:
         for task in TASKS:
             self.run_task(task, output_base_dir)
 
-    def load_raw_data(self) -> None:
-        """Write the raw and cleaned table layers (catalog mode only)."""
+    def load_raw_data(self, *, buckets: int | None = None, replace_months: bool = False) -> None:
+        """Write the raw and cleaned table layers (catalog mode only).
+
+        ``buckets`` lays the raw tables out by merchant, so that they join without a shuffle;
+        ``replace_months`` replaces only the months the input has.
+        """
         if not self.use_hive:
             raise ValueError("the table layers need catalog mode; run without --no-hive")
         write_layers(
-            self.transactions(), self.merchants(), self.get_cleaned_data(), self.database
+            self.transactions(), self.merchants(), None if buckets else self.get_cleaned_data(), self.database,
+            mode=REPLACE_PARTITIONS if replace_months else "overwrite", buckets=buckets,
         )
 
     def stop(self) -> None:
