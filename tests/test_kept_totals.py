@@ -122,7 +122,7 @@ def test_run_prints_the_same_report_as_check(spark, tmp_path, dimension, capsys)
     alone = re.findall(r"^\w+: \d+$", capsys.readouterr().out, re.M)
     assert cli.main([*argv, "task3", "-o", str(tmp_path / "a.csv")], spark=spark) == 0
     assert re.findall(r"^\w+: \d+$", capsys.readouterr().out, re.M) == alone
-    assert len(alone) == 7 and "duplicate_merchant_id: 1" in alone
+    assert len(alone) == 8 and "duplicate_merchant_id: 1" in alone
 
 
 def results(cube):

@@ -1,0 +1,90 @@
+"""Tasks that run at once, and lines of the merchants' file that are not what they should be."""
+
+import threading
+
+import pytest
+
+from tests.data import MERCHANTS, cleaned, row_set, rows, transactions
+from tillscope import cli
+from tillscope.functions.measures import as_double
+from tillscope.job import TASKS, SparkJob
+from tillscope.sources.files import load_merchants, malformed_merchants
+
+
+@pytest.fixture
+def inputs(spark, tmp_path):
+    transactions(spark).write.parquet(str(tmp_path / "sales"))
+    lines = ["merchant_id,merchant_name,city_id,state_id"]
+    lines += [",".join("" if v is None else str(v) for v in row) for row in MERCHANTS]
+    (tmp_path / "m.csv").write_text("\n".join(lines) + "\n")
+    return str(tmp_path / "sales"), str(tmp_path / "m.csv")
+
+
+def test_tables_are_those_of_single_tasks(spark, inputs, tmp_path, capsys):
+    together = SparkJob(*inputs, use_hive=False, spark=spark)
+    together.run_all_tasks(str(tmp_path / "all"))
+    together.stop()
+    printed = capsys.readouterr().out
+    assert [printed.index(f"TASK {n}") for n in "12345"] == sorted(printed.index(f"TASK {n}") for n in "12345")
+    for output in (o for outputs in TASKS.values() for o in outputs):
+        want = as_double(output.build(cleaned(spark)))
+        found = spark.read.schema(want.schema).option("header", True).csv(str(tmp_path / "all" / output.file))
+        assert row_set(found) == row_set(want)
+
+
+def test_tasks_run_at_once_in_pools_of_their_own(spark, inputs, monkeypatch):
+    job = SparkJob(*inputs, use_hive=False, spark=spark)
+    job.totals()
+    met, pools = threading.Barrier(2, timeout=60), {}
+
+    def run(self, task, paths):
+        met.wait()  # passes only if both are under way
+        pools[task] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        return {}
+
+    monkeypatch.setattr(SparkJob, "_run", run)
+    job._run_side_by_side({"1": {}, "3": {}})
+    job.stop()
+    assert pools == {"1": "task1", "3": "task3"}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_an_error_ends_the_run(spark, inputs, tmp_path, monkeypatch, capsys):
+    plain = SparkJob._run
+
+    def run(self, task, paths):
+        if task == "4":
+            raise ValueError("task 4 is broken")
+        return plain(self, task, paths)
+
+    monkeypatch.setattr(SparkJob, "_run", run)
+    assert cli.main(["-t", inputs[0], "-m", inputs[1], "--no-hive", "--task", "all", "-o", str(tmp_path / "r")], spark=spark) == 1
+    assert "task 4 is broken" in capsys.readouterr().err
+    assert not any(d.name.startswith("tillscope_work_") for d in spark.catalog.listDatabases())
+    assert spark.range(3).count() == 3
+
+
+BROKEN = 'state_id,merchant_id,merchant_name,city_id\n1,K17,"Shop, The",4\n2,K20\n3,K31,Fish, Fresh,7\n\n4,K58,Full,9\n5,K60,Long,1,2,3\n'
+
+
+def test_malformed_lines_are_counted_and_kept(spark, inputs, tmp_path, capsys):
+    (tmp_path / "broken.csv").write_text(BROKEN)
+    path = str(tmp_path / "broken.csv")
+    found = malformed_merchants(spark, path)
+    assert sorted(r["line"] for r in found.collect()) == ["2,K20", "3,K31,Fish, Fresh,7", "5,K60,Long,1,2,3"]
+    assert found.select("line").count() == 3 and found.where("line like '2%'").count() == 1
+    assert rows(load_merchants(spark, path))[1] == ("K20", None, None, 2)
+    assert load_merchants(spark, path).count() == 5
+    assert cli.main(["-t", inputs[0], "-m", path, "--no-hive", "check"], spark=spark) == 0
+    assert "malformed_line: 3" in capsys.readouterr().out
+    try:
+        SparkJob(inputs[0], path, spark=spark, database="db_broken").load_raw_data()
+        kept = spark.table("db_broken.malformed_merchants")
+        assert row_set(kept.select("line")) == row_set(found.select("line"))
+        assert kept.first()["file"].endswith("broken.csv")
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS db_broken CASCADE")
+
+
+def test_no_malformed_lines(spark, inputs):
+    assert malformed_merchants(spark, inputs[1]).count() == 0

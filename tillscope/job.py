@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.functions.measures import as_double
@@ -17,7 +18,7 @@ from tillscope.plans.kept import KeptTotals, SubCentAmounts
 from tillscope.session import create_session
 from tillscope.sinks.catalog import DATABASE, REPLACE_PARTITIONS, write_layers, write_table
 from tillscope.sinks.files import save_results
-from tillscope.sources.files import load_merchants, load_transactions, raw_merchants
+from tillscope.sources.files import load_merchants, load_transactions, malformed_merchants, raw_merchants
 
 REPORTS = "reports"
 #: Rows of a large result that a run prints.
@@ -127,6 +128,7 @@ class SparkJob:
         self._owns_session = spark is None
         self._cube = KeptTotals(self.spark, totals_dir, months) if totals_dir else SalesCube(self.spark, months)
         self._kept: list[DataFrame] = []
+        self._done: dict[str, dict[str, DataFrame]] = {}
 
     # --- inputs -------------------------------------------------------------------------
 
@@ -142,9 +144,11 @@ class SparkJob:
 
     def quality(self) -> DataFrame:
         """Rows of the inputs that fail a check; in cents mode amounts must be whole cents."""
-        return quality_report(
-            self.transactions(), self.merchants(), _now(), raw_merchants(self.spark, self.merchants_path)
-        )
+        return quality_report(self.transactions(), self.merchants(), _now(), *self._merchant_text())
+
+    def _merchant_text(self) -> tuple[DataFrame, DataFrame]:
+        """Merchants as text, and the lines that have a wrong number of fields."""
+        return tuple(read(self.spark, self.merchants_path) for read in (raw_merchants, malformed_merchants))
 
     def check(self) -> None:
         """Print the quality report alone; refuse amounts that whole cents would change."""
@@ -174,8 +178,8 @@ class SparkJob:
         else:
             self._cube.build(sales, self.merchants(), sides=sides, **options)
         if first:
-            raw = raw_merchants(self.spark, self.merchants_path)
-            of_merchants = {row["check"]: row["failing_rows"] for row in merchant_report(self.merchants(), raw).collect()}
+            report = merchant_report(self.merchants(), *self._merchant_text()).collect()
+            of_merchants = {row["check"]: row["failing_rows"] for row in report}
             unmatched = self._cube.unmatched().first()["failing_rows"]
             self._report({**self._cube.failing, "unmatched_merchant": unmatched, **of_merchants})
             _title("DATA")
@@ -191,6 +195,8 @@ class SparkJob:
     def _run(self, task: str, paths: Mapping[str, str | None]) -> dict[str, DataFrame]:
         """Compute, keep, write and return the tables of a task by table name."""
         sides = {"merchant" if output.by_merchant else "calendar" for output in TASKS[task]}
+        if task in self._done:
+            return self._done[task]
         cube = self.totals(sorted(sides))
         tables = {}
         for output in TASKS[task]:
@@ -205,6 +211,36 @@ class SparkJob:
             tables[output.table] = table
         return tables
 
+    def _run_side_by_side(self, tasks: Mapping[str, Mapping[str, str | None]]) -> None:
+        """Make and write the tables of several tasks at once, each in a scheduler pool of its own.
+
+        Where the scheduler is fair (``spark.scheduler.mode``), small tables need not queue behind a
+        large one. If a task fails, the jobs of the others are cancelled and its error is raised.
+        """
+        context = self.spark.sparkContext
+        tag = f"tillscope-{id(self)}"
+        failed: list[BaseException] = []
+        found: dict[str, dict[str, DataFrame]] = {}
+
+        def work(task: str) -> None:
+            context.setLocalProperty("spark.scheduler.pool", f"task{task}")
+            context.addJobTag(tag)
+            try:
+                if not failed:
+                    found[task] = self._run(task, tasks[task])
+            except BaseException as error:
+                failed.append(error)
+                context.cancelJobsWithTag(tag)
+
+        threads = [InheritableThread(target=work, args=(task,), session=self.spark) for task in tasks]
+        for thread in threads:
+            thread.start()
+        for thread in threads:
+            thread.join()
+        if failed:
+            raise failed[0]
+        self._done = found
+
     def run_task1(self, output_path: str | None = None) -> DataFrame:
         """Best merchants per month and city."""
         _title("TASK 1: TOP MERCHANTS BY CITY AND MONTH")
@@ -295,9 +331,17 @@ class SparkJob:
             getattr(self, f"run_task{task}")(*[f"{base}/{o.file}" for o in TASKS[task]])
 
     def run_all_tasks(self, output_base_dir: str | None = None) -> None:
+        """All tasks: their tables are made side by side, then reported in order."""
         self.totals()  # both sides in one scan
-        for task in TASKS:
-            self.run_task(task, output_base_dir)
+        base = (output_base_dir or REPORTS).rstrip("/")
+        self._run_side_by_side({
+            task: {o.table: f"{base}/{o.file}" for o in outputs} for task, outputs in TASKS.items()
+        })
+        try:
+            for task in TASKS:
+                self.run_task(task, output_base_dir)
+        finally:
+            self._done = {}
 
     def load_raw_data(self, *, buckets: int | None = None, replace_months: bool = False) -> None:
         """Write the raw and cleaned table layers (catalog mode only).
@@ -310,6 +354,7 @@ class SparkJob:
         write_layers(
             self.transactions(), self.merchants(), None if buckets else self.get_cleaned_data(), self.database,
             mode=REPLACE_PARTITIONS if replace_months else "overwrite", buckets=buckets,
+            malformed=malformed_merchants(self.spark, self.merchants_path),
         )
 
     def stop(self) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: Lines of the report, in order.
 CHECKS = (
     "null_merchant_id", "negative_amount", "future_date", "sub_cent_amount", "unmatched_merchant",
-    "duplicate_merchant_id", "bad_merchant_field",
+    "duplicate_merchant_id", "bad_merchant_field", "malformed_line",
 )
 
 
@@ -37,11 +37,12 @@ def quality_report(
     merchants: DataFrame,
     report_time: datetime | str,
     raw_merchants: DataFrame | None = None,
+    malformed: DataFrame | None = None,
 ) -> DataFrame:
     """Rows failing each check, as ``(check, failing_rows)``.
 
     ``raw_merchants`` are the merchants as text, before ids were read as numbers; with them the
-    fields that are no numbers are counted too.
+    fields that are no numbers are counted too. ``malformed`` are lines of a wrong number of fields.
 
     ``report_time`` stands for "now", so that the report can be repeated. Sales are summed
     per merchant first; only those sums are joined to the merchants.
@@ -61,16 +62,21 @@ def quality_report(
         )
         .unpivot([], [*checks, "unmatched_merchant"], "check", "failing_rows")
     )
-    return sales_checks.unionByName(merchant_report(merchants, raw_merchants))
+    return sales_checks.unionByName(merchant_report(merchants, raw_merchants, malformed))
 
 
-def merchant_report(merchants: DataFrame, raw_merchants: DataFrame | None = None) -> DataFrame:
+def merchant_report(
+    merchants: DataFrame, raw_merchants: DataFrame | None = None, malformed: DataFrame | None = None
+) -> DataFrame:
     """The checks on merchants alone, as ``(check, failing_rows)``."""
     report = _copies(merchants).agg(
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("failing_rows")
     ).select(F.lit("duplicate_merchant_id").alias("check"), "failing_rows")
     if raw_merchants is not None:
         report = report.unionByName(_bad_fields(raw_merchants))
+    if malformed is not None:
+        lines = malformed.agg(F.count(F.lit(1)).alias("failing_rows"))
+        report = report.unionByName(lines.select(F.lit("malformed_line").alias("check"), "failing_rows"))
     return report
 
 

@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Tasks that run side by side share the executors.
+    "spark.scheduler.mode": "FAIR",
     # Joins and groupings are sized by the statistics kept with catalog tables, where there are any.
     "spark.sql.cbo.enabled": "true",
     # Without this, small partitions of a cached result are not merged.

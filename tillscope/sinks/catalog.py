@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from threading import RLock
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -164,14 +165,19 @@ def _replace_partitions(df: DataFrame, name: str, layout: tuple) -> set[tuple]:
     return {tuple(values) for values in written.get["partitions"] or ()}
 
 
+_ONE_AT_A_TIME = RLock()
+
+
 @contextmanager
 def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    """A setting of the session for a while; threads that write tables take turns."""
+    with _ONE_AT_A_TIME:
+        before = spark.conf.get(key, None)
+        spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def _analyze(spark: SparkSession, name: str, columns: Sequence[str]) -> None:
@@ -206,9 +212,12 @@ def write_layers(
     *,
     mode: str = "overwrite",
     buckets: int | None = None,
+    malformed: DataFrame | None = None,
 ) -> None:
     """The raw and cleaned tables, sales partitioned by year and month.
 
+    ``malformed`` lines of the merchants' file, if any, are kept as they stand in a table of their own.
+
     ``mode`` holds for the sales tables: ``replace_partitions`` reloads the months that
     ``transactions`` has and leaves the others as they are; merchants are always replaced whole.
 
@@ -220,6 +229,10 @@ def write_layers(
     by_merchant = {"bucket_by": "merchant_id", "buckets": buckets}
     write_table(with_months(transactions), "raw_transactions", database, mode, by_month, **by_merchant)
     write_table(merchants, "raw_merchants", database, **by_merchant)
+    if malformed is not None and not malformed.isEmpty():
+        write_table(malformed, "malformed_merchants", database)
+    elif malformed is not None:
+        transactions.sparkSession.sql(f"DROP TABLE IF EXISTS `{database}`.malformed_merchants")
     if cleaned is None:
         cleaned = cleaned_from_layers(transactions.sparkSession, database)
         if mode == REPLACE_PARTITIONS:
