@@ -1,8 +1,8 @@
 """Format-preserving pseudonyms for personal numbers, dates, addresses and secrets.
 
 A value is split in two halves. In each round of a Feistel network the characters of one half are
-shifted, each within its own kind (digit, small letter, capital letter, or hexadecimal digit), by
-a keyed hash of the other half. Whoever has the key can undo it; a value always gets the
+shifted, each within its own kind (digit, small letter, capital letter, the letters of one script, or
+hexadecimal digit), by a keyed hash of the other half. Whoever has the key can undo it; a value always gets the
 same pseudonym, different values of one format get different ones, and punctuation stays. Of cards,
 accounts and phones the bare digits and letters are permuted and then take the places they had
 among the separators, so all spellings of a number are linked.
@@ -22,7 +22,10 @@ ROUNDS = 8
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}@"
              r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "key": r"(?<![A-Za-z0-9_])(?:A[KS]IA[A-Z0-9]{16}|[srp]k_(?:live|test)_[A-Za-z0-9]{16,99}"
+           r"|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,99})(?![A-Za-z0-9_])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+            r"|(?<![A-Za-z0-9])[a-z]{2}[0-9]{2}(?:[a-z0-9]{11,30}|(?: [a-z]{4})?(?: [0-9]{4}){2,7}(?: [0-9]{1,3})?)(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}"
           r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
@@ -33,6 +36,21 @@ PATTERNS = {
              r"|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])",
     "number": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
+# What a text with any of these has, at least: most texts have not and are not searched.
+HINT = "[0-9@]|A[KS]IA|_(?:live|test)_|gh[pousr]_|xox[abprs]-"
+# The part of a key that says whose and what it is.
+KEY_KIND = "^(?:A[KS]IA|.._(?:live|test)_|gh._|xox.-)"
+
+# First and last letters of one kind, beyond ASCII (Unicode).
+LETTERS = (
+    (0x00DF, 0x00F6), (0x00F8, 0x00FF), (0x00C0, 0x00D6), (0x00D8, 0x00DE), (0x0100, 0x017F),
+    (0x0391, 0x03A1), (0x03B1, 0x03C9), (0x0410, 0x042F), (0x0430, 0x044F), (0x05D0, 0x05EA),
+    (0x0620, 0x063A), (0x0904, 0x0939), (0x0E01, 0x0E2E), (0x3041, 0x3096), (0x30A1, 0x30FA),
+    (0x4E00, 0x9FFF), (0xAC00, 0xD7A3),
+)
+# Other letters and digits move among the sixteen code points of their row.
+ROW = 16
+
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 # Calling codes of countries (ITU E.164); those not listed here have three digits.
@@ -51,17 +69,33 @@ def _characters(text: Column) -> Column:
 def _shifted(half: Column, stream: Column, hexadecimal: bool) -> Column:
     """Each character moved within its kind by a byte of the hexadecimal ``stream``."""
 
-    def move(c: Column, i: Column) -> Column:
-        code = F.ascii(c)
-        by = F.conv(F.substring(stream, (i % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+    def move(bytes_: Column, c: Column, i: Column) -> Column:
+        by = F.conv(F.substring(bytes_, (i % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int")
         if hexadecimal:
             value = F.conv(c, 16, 10).cast("int")
             return F.lower(F.conv(((value + by) % 16).cast("string"), 10, 16))
-        kinds = F.when(code.between(48, 57), F.char(48 + (code - 48 + by) % 10))
-        kinds = kinds.when(code.between(97, 122), F.char(97 + (code - 97 + by) % 26))
-        return kinds.when(code.between(65, 90), F.char(65 + (code - 65 + by) % 26)).otherwise(c)
+        return _once(F.struct(F.ascii(c).alias("code"), by.alias("by")), lambda x: _moved(c, x["code"], x["by"]))
+
+    return _once(stream, lambda bytes_: F.array_join(
+        F.transform(_characters(half), lambda c, i: move(bytes_, c, i)), ""
+    ))
+
 
-    return F.array_join(F.transform(_characters(half), move), "")
+def _moved(c: Column, code: Column, by: Column) -> Column:
+    kinds = F.when(code.between(48, 57), F.char(48 + (code - 48 + by) % 10))
+    kinds = kinds.when(code.between(97, 122), F.char(97 + (code - 97 + by) % 26))
+    kinds = kinds.when(code.between(65, 90), F.char(65 + (code - 65 + by) % 26))
+    return kinds.when(code < 128, c).otherwise(_beyond_ascii(c, code, by))
+
+
+def _beyond_ascii(c: Column, code: Column, by: Column) -> Column:
+    """A letter or digit moved within its kind; marks and signs stay."""
+    row = code - code % ROW
+    moved = F.when(~c.rlike(r"[\p{L}\p{N}]"), code)
+    for first, last in LETTERS:
+        moved = moved.when(code.between(first, last), first + (code - first + by) % (last - first + 1))
+    moved = moved.otherwise(row + (code - row + by) % ROW)
+    return F.decode(F.unhex(F.lpad(F.hex(moved), 8, "0")), "UTF-32")
 
 
 def permuted(value: Column, key: str, kind: str, hexadecimal: bool = False) -> Column:
@@ -136,18 +170,20 @@ def _remainder_97(account: Column) -> Column:
 
 
 def _iban(value: Column, key: str) -> Column:
-    """Account part permuted and check digits made anew; an invalid number stays as it is."""
-    plain = F.regexp_replace(value, " ", "")
-    land = F.substring(value, 1, 2)
+    """Account part permuted and check digits made anew; an invalid number stays as it is.
+
+    In small letters or capitals, a number has the same pseudonym.
+    """
+    plain = F.upper(F.regexp_replace(value, " ", ""))
+    land = F.substring(plain, 1, 2)
 
     def whole(fresh: Column) -> Column:
         check = 98 - _remainder_97(F.concat(land, F.lit("00"), fresh))
         return F.concat(land, F.lpad(check.cast("string"), 2, "0"), fresh)
 
     account = permuted(F.substring(plain, F.lit(5), F.length(plain)), key, "iban")
-    return F.when(
-        _remainder_97(plain) == 1, _once(_once(account, whole), lambda bare: _laid_out(value, bare))
-    ).otherwise(value)
+    fresh = _once(_once(account, whole), lambda bare: _laid_out(value, bare))
+    return F.when(_remainder_97(plain) == 1, F.when(value.rlike("^[a-z]"), F.lower(fresh)).otherwise(fresh)).otherwise(value)
 
 
 def _ip(value: Column, key: str) -> Column:
@@ -212,11 +248,18 @@ def _secret(value: Column, key: str) -> Column:
     return F.when(value.rlike("[A-F]"), F.upper(fresh)).otherwise(fresh)
 
 
+def _key(value: Column, key: str) -> Column:
+    """A key to a service: what tells its kind stays."""
+    kind = F.regexp_extract(value, KEY_KIND, 0)
+    return F.concat(kind, permuted(F.substring(value, F.length(kind) + 1, F.length(value)), key, "key"))
+
+
 def pseudonym(value: Column, key: str) -> Column:
     """Pseudonym of one found value."""
     whole = {kind: value.rlike(f"^(?:{p})$") for kind, p in PATTERNS.items()}
     return (
         F.when(whole["email"], _email(value, key))
+        .when(whole["key"], _key(value, key))
         .when(whole["iban"], _iban(value, key))
         .when(whole["secret"], _secret(value, key))
         .when(whole["ip"], _ip(value, key))
@@ -228,27 +271,27 @@ def pseudonym(value: Column, key: str) -> Column:
 
 
 def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
-    """``doc_id``, ``text`` with pseudonyms in place of personal values, and ``n_values`` found.
-
-    Found are e-mail addresses, IBANs, hexadecimal secrets, IPv4 addresses, dates of 1900 to 2099,
-    national and phone numbers and numbers of 13 to 19 digits. Numbers with check digits stay
-    valid, or as wrong as they were; strings that only look like an IBAN or a date stay. A value
-    has one pseudonym in all documents, and cards, IBANs and phones have it however they are spaced. Null text stays null with 0 values; rows
-    repeated are treated each; an empty table gives an empty result. Other columns are not read.
+    """``doc_id``, ``text`` with pseudonyms in place of personal values, and ``n_values`` replaced.
+
+    Found are e-mail addresses, IBANs, hexadecimal secrets, keys to services, IPv4 addresses, dates of
+    1900 to 2099, national and phone numbers and numbers of 13 to 19 digits. Numbers with check digits
+    stay valid, or as wrong as they were; strings that only look like an IBAN or a date stay and do not
+    count. A value has one pseudonym in all documents, and cards, IBANs and phones have it however they are
+    spaced. Null text stays null with 0 values; rows repeated are treated each; an empty table gives
+    an empty result. Other columns are not read.
     """
     text = F.col("text")
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    fresh = F.transform(F.col("found"), lambda v: pseudonym(v, key))
+    looked = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.when(text.rlike(HINT), found).alias("_found"),
+    ).withColumn("_fresh", F.transform("_found", lambda v: pseudonym(v, key)))
     joined = F.array_join(F.zip_with(
-        F.split(text, ANY, -1), fresh, lambda part, value: F.concat(part, F.coalesce(value, F.lit("")))
+        F.split(text, ANY, -1), "_fresh", lambda part, value: F.concat(part, F.coalesce(value, F.lit("")))
     ), "")
-    # Most texts have neither a digit nor an @ and are not searched at all.
-    looked = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text",
-        F.when(text.rlike("[0-9@]"), found).alias("found"),
-    )
-    some = F.coalesce(F.size("found"), F.lit(0)) > 0
+    some = F.coalesce(F.size("_found"), F.lit(0)) > 0
+    changed = F.zip_with("_found", "_fresh", lambda value, fresh: (value != fresh).cast("long"))
     return looked.select(
         "doc_id", F.when(some, joined).otherwise(text).alias("text"),
-        F.when(some, F.size("found")).otherwise(0).cast("long").alias("n_values"),
+        F.when(some, F.aggregate(changed, F.lit(0).cast("long"), lambda n, one: n + one))
+        .otherwise(F.lit(0).cast("long")).alias("n_values"),
     )
