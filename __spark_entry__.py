@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,12 @@ from tillscope.operators.rollup import merchant_totals, roll_up
 from tillscope.plans import insights, results
 from tillscope.sources import star
 
-try:
+# The training-text part may be left out; where it is there, errors in it are errors here.
+_PARTS = [find_spec(name) for name in ("corpus_pipeline", "tillscope.llm")]
+if all(part is not None and part.origin for part in _PARTS):
     import corpus_pipeline
     from tillscope.llm import queries as training_text
-except ImportError:  # the training-text part may be left out
+else:
     corpus_pipeline = training_text = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
