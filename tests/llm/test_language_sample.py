@@ -1,0 +1,48 @@
+"""The training sample: the smallest hashes of each language, taken without moving texts."""
+
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillscope.llm import language_id
+from tillscope.llm.language_id import training_sample
+
+
+@pytest.fixture
+def labelled(spark):
+    hot = F.when(F.col("id") % 3 > 0, "en").when(F.col("id") % 2 == 0, "de").when(F.col("id") % 5 > 0, "fr")
+    text = F.concat(F.col("id").cast("string"), F.lit(" word "), F.repeat(F.lit("längere Wörter "), (F.col("id") % 7).cast("int")))
+    return spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 11 > 0, text).alias("text"), hot.alias("lang"))
+
+
+def test_smallest_hashes_of_each_language(labelled, monkeypatch):
+    monkeypatch.setattr(language_id, "TRAIN_DOCUMENTS", 20)
+    monkeypatch.setattr(language_id, "TRAIN_CHARACTERS", 30)
+    rows = labelled.select("doc_id", "text", "lang", F.xxhash64("doc_id", "text").alias("draw"), language_id.remainder(4).alias("r")).collect()
+    want = defaultdict(list)
+    for r in rows:
+        if r.lang and r.text is not None and r.r != 2:
+            low = r.draw % max(1, len(r.text) - 30 + 1)
+            want[r.lang].append((r.draw, r.text[low : low + 30]))
+    got = defaultdict(list)
+    for r in training_sample(labelled).collect():
+        got[r.lang].append((r.draw, r.text))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[:20] for k, v in want.items()}
+
+
+def test_no_join_and_no_whole_texts_in_a_shuffle(spark, labelled, tmp_path):
+    labelled.write.parquet(str(tmp_path / "docs"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = training_sample(spark.read.parquet(str(tmp_path / "docs")))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    below = plan.split("Exchange")[1]
+    assert "substring(text" in below and "element_at" in below and "WindowGroupLimit" in below
+
+
+def test_no_labelled_documents(labelled):
+    assert training_sample(labelled.where("lang = 'none'")).count() == 0

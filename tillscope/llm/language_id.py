@@ -23,29 +23,37 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
-def fit(docs: DataFrame) -> LanguageCrf:
-    """Model from labelled documents that are not held out.
+def training_sample(docs: DataFrame) -> DataFrame:
+    """``lang``, ``text``, ``draw`` of labelled documents that are not held out.
 
     At most ``TRAIN_DOCUMENTS`` of each language are taken, those of the smallest hash of
     doc_id and text, and of a longer one a stretch of ``TRAIN_CHARACTERS`` at a place the
-    hash decides.
+    hash decides. A first cut by the hash, made where documents are read, leaves several times the
+    bound, so only some stretches are shuffled; for it the documents of each language are counted
+    (one number for each label of the model).
     """
     usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(4) != 2)
+    counts = docs.where(usable).groupBy("lang").count().collect()
+    if not counts:
+        return docs.where(F.lit(False)).select("lang", "text", F.lit(0).cast("long").alias("draw"))
+    shares = F.create_map(*[
+        F.lit(x) for row in counts for x in (row["lang"], min(1.0, 4.0 * TRAIN_DOCUMENTS / row["count"]))
+    ])
     labelled = docs.where(usable).select("lang", "text", F.xxhash64("doc_id", "text").alias("draw"))
-    counts = labelled.groupBy("lang").count()
-    # A first cut by the hash leaves several times the bound, so that little is ranked.
-    share = F.least(F.lit(1.0), F.lit(4.0 * TRAIN_DOCUMENTS) / F.col("count"))
-    near = labelled.join(counts.select(F.col("lang").alias("_lang"), share.alias("share")), F.col("lang") == F.col("_lang"))
-    near = near.where(F.col("draw") / F.lit(2.0**63) <= 2 * F.col("share") - 1)
+    near = labelled.where(F.col("draw") / F.lit(2.0**63) <= 2 * F.element_at(shares, F.col("lang")) - 1)
     spare = F.greatest(F.lit(1), F.length("text") - TRAIN_CHARACTERS + 1)
     stretch = F.substring("text", F.pmod("draw", spare).cast("int") + 1, F.lit(TRAIN_CHARACTERS))
     first = Window.partitionBy("lang").orderBy("draw", "text")
-    rows = (
+    return (
         near.select("lang", stretch.alias("text"), "draw")
         .withColumn("place", F.row_number().over(first))
-        .where(F.col("place") <= TRAIN_DOCUMENTS).collect()
+        .where(F.col("place") <= TRAIN_DOCUMENTS).drop("place")
     )
-    rows = sorted(rows, key=lambda r: (r["lang"], r["draw"]))
+
+
+def fit(docs: DataFrame) -> LanguageCrf:
+    """Model from the training sample, which is bounded for each language."""
+    rows = sorted(training_sample(docs).collect(), key=lambda r: (r["lang"], r["draw"]))
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
