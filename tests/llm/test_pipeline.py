@@ -61,7 +61,7 @@ def test_empty_corpus(spark, corpus, tmp_path):
 
 def test_one_query_for_each_operator():
     numbers = [int(m[1]) for m in (re.match(r"op(\d+)_", name) for name in driver.queries()) if m]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in driver.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in driver.queries()
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
