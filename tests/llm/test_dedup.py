@@ -10,7 +10,7 @@ from tests.llm import brute
 from tillscope.llm import setsketch, substrings
 from tillscope.llm.exact_dedup import DigestIndex, deduplicate_once, without_copies
 from tillscope.llm.grouping import connected_components, with_group_totals
-from tillscope.llm.near_dedup import near_duplicates, one_of_each
+from tillscope.llm.near_dedup import _candidates, near_duplicates, one_of_each
 from tillscope.llm.substring_dedup import remove_repeats
 from pyspark.sql import functions as F
 
@@ -89,6 +89,47 @@ def test_near_family_of_edits(spark):
     assert len(set(got.values())) > 1
 
 
+def test_near_large_family(spark):
+    """Many hundred edits of one passage, most pairs of which just miss the limit or are far below."""
+    chance = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for i in range(800):
+        own = list(base)
+        for at in chance.choice(100, int(chance.integers(2, 7)), replace=False):
+            # A few edits are shared by many texts, so common shingles are of all frequencies.
+            own[at] = f"edit{i % 40 if i % 3 else i}x{at}"
+        texts.append((i, " ".join(own)))
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame).collect()}
+    assert got == {i: c for i, (_, c) in brute.components(texts).items()}
+    assert len(set(got.values())) > 10
+
+
+def test_candidates_come_once(spark):
+    """Every similar pair of different components is a candidate, whatever shingles they share first."""
+    chance = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(60):
+        own = list(base)
+        for at in chance.choice(300, int(chance.integers(0, 16)), replace=False):
+            own[at] = f"edit{i % 7}x{at}"
+        texts.append((i, " ".join(own)))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    # Documents lie in twenty components of their own; one of them is the most frequent.
+    homes = spark.createDataFrame([(i, i % 20 if i < 50 else 0) for i in range(60)], "doc_id long, component long")
+    found = [tuple(r) for r in _candidates(homes, frame).collect()]
+    assert len(found) == len(set(found))
+    home = {r.doc_id: r.component for r in homes.collect()}
+    sets = {i: brute.shingles(t) for i, t in texts}
+    for i in range(60):
+        for j in range(i + 1, 60):
+            both = len(sets[i] & sets[j])
+            if home[i] != home[j] and 100 * both >= 75 * len(sets[i] | sets[j]):
+                assert (i, j) in found
+
+
 def test_likelihood_estimate():
     chance = np.random.default_rng(1)
     for share in (0.3, 0.75, 0.95):

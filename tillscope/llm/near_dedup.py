@@ -10,8 +10,9 @@
 3. The links found so far join documents into components. Members of a bucket that lie in
    different components have not all been compared. For these documents alone the rest is
    found exactly: ordered from the rarest shingle on, two similar sets share one of their first
-   few, at a place that leaves room for enough others. So a large group whose members are
-   nearly, but not quite, similar enough yields few pairs instead of all.
+   few, at a place that leaves room for enough others. A pair comes out of the join at its first
+   such shingle, not at each, and registers are compared before texts are. So a large group
+   whose members are nearly, but not quite, similar enough yields few pairs instead of all.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ BAND_ORDERS = 2
 # Pairs likelier below this are dropped before the exact check; it is five standard errors
 # of the estimate away from the limit.
 LEAST_ESTIMATE = 0.55
+# A pair is not met again at a shingle if it shares one of this many shingles before it.
+LOOK_BACK = 32
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,8 +148,8 @@ def _bodies(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _star_links(stars: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs of ``stars`` that are similar; what cannot be is dropped by sizes and registers."""
+def _similar(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    """The ``pairs`` that are similar; what cannot be is dropped by sizes and registers."""
     side = {
         x: sketches.select(
             F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"),
@@ -154,18 +157,20 @@ def _star_links(stars: DataFrame, sketches: DataFrame, texts: DataFrame) -> Data
         )
         for x in "ab"
     }
-    likely = stars.join(side["b"], "b").join(side["a"], "a").where(
+    likely = pairs.join(side["b"], "b").join(side["a"], "a").where(
         100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
     ).mapInArrow(_likely, "a long, b long")
     return _bodies(compact(checkpointed(likely)), texts)
 
 
-def _rest(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Similar pairs of documents of different components: ``open_docs`` has ``doc_id``, ``component``.
+def _candidates(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of documents of different components that can be similar: ``open_docs`` has ``doc_id``, ``component``.
 
     Shingles are ordered by how many of these documents have them, then by hash. With x the smaller
     set of a pair, the common part is at least 6/7 of x and 3/4 of the larger y (from
-    3/7 of both sizes), so it reaches into the first n - 6n/7 + 1 of x and n - 3n/4 + 1 of y.
+    3/7 of both sizes), so it reaches into the first n - 6n/7 + 1 of x and n - 3n/4 + 1 of y. What holds at
+    a shared shingle holds at an earlier one too, so the pair is left to the earliest; only where
+    more than ``LOOK_BACK`` others lie between two shared ones is it met again, and made distinct.
     """
     rows = texts.join(open_docs, "doc_id").mapInArrow(
         _shingle_rows, "doc_id long, component long, n int, shingle long"
@@ -175,9 +180,11 @@ def _rest(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
     # Shingles of one document alone come first in its order and lead to no partner.
     place = F.col("n") - F.count("*").over(of_doc) + F.row_number().over(of_doc.orderBy("df", "shingle"))
     rise, both = F.lit(PERCENT), F.lit(100 + PERCENT)
+    before = F.collect_list("shingle").over(of_doc.orderBy("place").rowsBetween(-LOOK_BACK, -1))
     prefix = checkpointed(
         rows.join(common, "shingle").select("doc_id", "component", "n", "shingle", place.alias("place"))
         .where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * rise / 100) + 1)
+        .withColumn("before", before)
     )
     # Entries of the component most frequent at a shingle need not meet one another.
     homes = prefix.groupBy("shingle", "component").count().groupBy("shingle").agg(
@@ -185,10 +192,11 @@ def _rest(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
     ).where("kinds > 1")
     at_mixed = prefix.join(homes, "shingle")
     left = at_mixed.where("component <> home").select(
-        "shingle", *[F.col(c).alias(f"{c}_l") for c in ("doc_id", "component", "n", "place")]
+        "shingle", *[F.col(c).alias(f"{c}_l") for c in ("doc_id", "component", "n", "place", "before")]
     )
     right = at_mixed.select(
-        "shingle", *[F.col(c).alias(f"{c}_r") for c in ("doc_id", "component", "n", "place")]
+        "shingle", (F.col("component") == F.col("home")).alias("at_home"),
+        *[F.col(c).alias(f"{c}_r") for c in ("doc_id", "component", "n", "place", "before")],
     )
     least_common = F.ceil((F.col("n_l") + F.col("n_r")) * rise / both)
     room = 1 + F.least(F.col("n_l") - F.col("place_l"), F.col("n_r") - F.col("place_r"))
@@ -197,14 +205,15 @@ def _rest(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
     smaller_place = F.when(left_is_smaller, F.col("place_l")).otherwise(F.col("place_r"))
     pairs = left.join(right, "shingle").where(
         (F.col("component_l") != F.col("component_r"))
+        & (F.col("at_home") | (F.col("doc_id_l") < F.col("doc_id_r")))
         & (100 * F.least("n_l", "n_r") >= rise * F.greatest("n_l", "n_r"))
         & (smaller_place <= smaller_n - F.ceil(smaller_n * 2 * rise / both) + 1)
         & (room >= least_common)
+        & ~F.arrays_overlap("before_l", "before_r")
     )
-    pairs = pairs.select(
+    return pairs.select(
         F.least("doc_id_l", "doc_id_r").alias("a"), F.greatest("doc_id_l", "doc_id_r").alias("b")
     ).distinct()
-    return _bodies(compact(pairs), texts)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -235,7 +244,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = compact(members.where("doc_id > least").select(
         F.col("least").alias("a"), F.col("doc_id").alias("b")
     ).distinct())
-    links = _star_links(stars, sketches, texts)
+    links = _similar(stars, sketches, texts)
     so_far = connected_components(links)
     placed = members.select("band", "doc_id").join(
         so_far.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"
@@ -244,7 +253,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_docs = placed.join(mixed.where("lo < hi").select("band"), "band").select(
         "doc_id", "component"
     ).distinct()
-    more = _rest(checkpointed(compact(open_docs)), texts)
+    more = _similar(_candidates(checkpointed(compact(open_docs)), texts), sketches, texts)
     # A doc_id with several texts lies in several classes and links them.
     spans = classes.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z"))
     bridges = classes.join(spans.where("a < z"), "doc_id").where("class_id > a").select(
@@ -262,7 +271,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that stay, one of each component, with their columns as they were."""
+    """The documents that stay, one of each component, with their columns as they were.
+
+    All rows under a doc_id that stays are kept; a null doc_id always stays, as do null, empty and
+    blank texts. Columns named like those used here do no harm; an empty table stays empty.
+    """
     node = free_name(docs, "gone_id")
     gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias(node)).distinct()
     return docs.join(gone, F.col("doc_id") == F.col(node), "left_anti")
