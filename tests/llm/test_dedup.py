@@ -57,6 +57,42 @@ def test_index_grows(spark, docs):
         index.drop()
 
 
+def test_index_is_not_shuffled(spark, docs):
+    index = DigestIndex(spark, "digest_index_plan", buckets=3)
+    try:
+        index.deduplicate(docs)
+        groups = docs.select(F.unhex(F.sha2("text", 256)).alias("digest"))
+        plan = index.entries(groups)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+        assert plan.count("Exchange") == 1, plan
+    finally:
+        index.drop()
+
+
+def test_named_batch_runs_again(spark, docs):
+    """A batch whose result was lost gives the same rows again, and another batch none of its texts."""
+    index = DigestIndex(spark, "digest_index_again", buckets=3)
+    try:
+        first = sorted(map(str, index.deduplicate(docs, "a").collect()))
+        assert sorted(map(str, index.deduplicate(docs, "a").collect())) == first
+        # Another object for the same table keeps to the table's buckets.
+        other = DigestIndex(spark, index.table, buckets=5).deduplicate(docs, "b")
+        assert other.where("kept").count() == 0
+        assert other.select("keep_id").distinct().count() == docs.select(F.lower(F.coalesce("text", F.lit("")))).distinct().count()
+    finally:
+        index.drop()
+
+
+def test_one_large_group(spark):
+    """A third of all rows is one text."""
+    frame = spark.range(9_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("text")
+    )
+    got = deduplicate_once(frame)
+    assert got.where("kept").count() == 6_001
+    assert got.where("group_size = 3000 and keep_id = 8997").count() == 3_000
+
+
 def test_near(docs, rows):
     got = {r.doc_id: r for r in near_duplicates(docs).collect()}
     for i, (size, component) in brute.components([(r[0], r[1]) for r in rows]).items():
