@@ -30,6 +30,23 @@ def test_comments_stay_out_though_they_are_longer():
     assert main_text(small, Weights({}, {}, 0.1)) == story
 
 
+TALK = (
+    "section class=comments", "div class='sidebar'", "article class=comment", "div class='comment-body'",
+    "div class='user-comments'", "div class='ad-slot'", "div class=adbox", "div id='comment-1204'",
+)
+
+
+@pytest.mark.parametrize("part", TALK)
+def test_longer_parts_of_others_stay_out(part):
+    """Comments, adverts and sidebars longer than the article: in it, after it, and beside an unmarked one."""
+    story, talk, name = prose(7, 50), prose(8, 400), part.split()[0]
+    other = f"<{part}><p>{talk}</p></{name}>"
+    for weights in (Weights({}, {}, 0.1), learn([PAGE] * 3)):
+        assert main_text(f"<body><article><p>{story}</p>{other}</article></body>", weights) == story
+        assert main_text(f"<body><article><p>{story}</p></article>{other}</body>", weights) == story
+        assert main_text(f"<body><div class=post><p>{story}</p></div>{other}</body>", weights) == story
+
+
 def test_region_runs_over_barred_parts():
     links = "".join(f"<li><a href='/{k}'>two words</a></li>" for k in range(30))
     body = prose(5, 80)

@@ -25,7 +25,7 @@ PARAGRAPH_ENDS = frozenset(
     "nav ol p pre section table ul".split()
 )
 # Words in class, id and role that name parts which are not the article. They bar
-# an element only if all of a name is made of them, and never what holds most of the article.
+# an element only if all of a name is made of them and of words for layout.
 NOT_ARTICLE = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead footer sidebar aside "
@@ -34,7 +34,21 @@ NOT_ARTICLE = frozenset(
     "discussion reply replies respond disqus widget toolbar pagination pager copyright legal "
     "complementary contentinfo hidden".split()
 )
+# Of these, the ones that name what readers or advertisers wrote, however long it is.
+OTHERS_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion "
+    "related recommended comment comments commentlist discussion reply replies respond disqus".split()
+)
+# Words that say where or how a part is laid out, or whose it is, but not what it is.
+LAYOUT = frozenset(
+    "area block body bottom box column container content entry group holder inner item left list outer "
+    "panel reader readers right section slot thread top unit user users wrap wrapper".split()
+)
+#: Names written as one word, such as ``adbox``.
+_JOINED = {word + layout: word for word in sorted(NOT_ARTICLE) for layout in sorted(LAYOUT)}
 ARTICLE = frozenset(["article", "main"])
+#: A page or article of which less than this is left without a part had its name for another reason.
+LEAST_LEFT = 0.1
 # Of these, an article has its own: its heading.
 HEADERS = frozenset(["header", "masthead"])
 # Elements that say nothing about what they hold.
@@ -68,26 +82,28 @@ class Block(NamedTuple):
 
 
 class Part(NamedTuple):
-    """An element with listed words in its names: these words, and whether a name is all of them."""
+    """An element with listed words in its names: these words, whether a name is all of them, and whose words it has."""
 
     listed: frozenset[str]
     whole: bool
+    others: bool
 
 
 def _element_names(name: str, attributes: str, in_article: bool) -> tuple[frozenset[str], bool, Part | None]:
     """Names an element goes by, whether it is barred as such, and what its names say against it."""
-    given, listed, whole = set(), set(), False
+    given, listed, whole, others = set(), set(), False, False
     if "=" in attributes:
         for found in _NAMES.finditer(attributes):
             for token in next(g for g in found.groups() if g is not None).lower().split():
-                parts = set(_WORDS.findall(token))
+                parts = {_JOINED.get(word, word) for word in _WORDS.findall(token)}
                 given |= parts
                 bars = (parts & NOT_ARTICLE) - (HEADERS if in_article else set())
                 listed |= bars
-                whole = whole or (bool(bars) and bars == parts)
-    if name in ("body", "html", *ARTICLE):
+                if bars and all(word in bars or word in LAYOUT or word.isdigit() for word in parts):
+                    whole, others = True, others or not bars.isdisjoint(OTHERS_WORDS)
+    if name in ("body", "html") or (name in ARTICLE and not others):
         listed = set()
-    part = Part(frozenset(f".{w}" for w in listed), whole) if listed else None
+    part = Part(frozenset(f".{w}" for w in listed), whole, others) if listed else None
     barred = name in HIDDEN or (name == "header" and not in_article)
     if "hidden" in attributes and not barred:
         barred = "hidden" in re.split(r"[\s=/]+", _QUOTED.sub("", attributes))
@@ -97,24 +113,35 @@ def _element_names(name: str, attributes: str, in_article: bool) -> tuple[frozen
 def blocks(html: str) -> Iterator[Block]:
     """Blocks of a page in order. Broken, unclosed and cut-off markup is taken as browsers do.
 
-    A part whose name speaks against it counts as if it had no such name if it holds half of the
-    words in the page's articles, or, where none are marked, more than half of all words.
+    A part with a listed word among others in its name counts as if it had no such name if it holds half
+    of the words in the page's articles, or, where none are marked, more than half of all words. A part
+    barred by its whole name must besides hold a marked article, or leave hardly anything of the
+    article or page without it; the latter does not do for comments and adverts where anything is left.
     """
     parts: list[Part] = []
-    found = list(_raw_blocks(html, parts))
+    around: set[int] = set()
+    found = list(_raw_blocks(html, parts, around))
     words, in_article = Counter[int](), Counter[int]()
-    total = total_in_article = 0
+    total = total_in_article = left = left_in_article = 0
     for block, inside, _ in found:
         n = len(block.text.split())
         own = n if block.article and not block.barred else 0
         total, total_in_article = total + n, total_in_article + own
+        if not block.barred and not any(parts[k].whole for k in inside):
+            left, left_in_article = left + n, left_in_article + own
         for k in inside:
             words[k] += n
             in_article[k] += own
     if total_in_article:
-        stands = [2 * in_article[k] < total_in_article for k in range(len(parts))]
+        most = [2 * in_article[k] >= total_in_article for k in range(len(parts))]
+        left_share = left_in_article / total_in_article
     else:
-        stands = [2 * words[k] <= total for k in range(len(parts))]
+        most = [2 * words[k] > total for k in range(len(parts))]
+        left_share = left / max(total, 1)
+    stands = []
+    for k, part in enumerate(parts):
+        needed = left_share == 0 if part.others else left_share < LEAST_LEFT
+        stands.append(not (most[k] and (not part.whole or k in around or needed)))
     for block, inside, tags in found:
         held = [parts[k] for k in inside if stands[k]]
         yield block._replace(
@@ -125,8 +152,13 @@ def blocks(html: str) -> Iterator[Block]:
         )
 
 
-def _raw_blocks(html: str, known: list[Part]) -> Iterator[tuple[Block, tuple[int, ...], dict[tuple[int, ...], int]]]:
-    """Blocks, the numbers of the parts in ``known`` that hold them, and of those that hold their tags."""
+def _raw_blocks(
+    html: str, known: list[Part], around: set[int]
+) -> Iterator[tuple[Block, tuple[int, ...], dict[tuple[int, ...], int]]]:
+    """Blocks, the numbers of the parts in ``known`` that hold them, and of those that hold their tags.
+
+    Parts that hold a marked article go to ``around``.
+    """
     stack: list[tuple[str, frozenset[str], bool, bool, tuple[int, ...]]] = []
     opened: Counter[str] = Counter()
     names: frozenset[str] = frozenset()
@@ -192,7 +224,11 @@ def _raw_blocks(html: str, known: list[Part]) -> Iterator[tuple[Block, tuple[int
         if part:
             known.append(part)
             inside = (*inside, len(known) - 1)
-        names, barred, article = names | own, barred or bars, article or name in ARTICLE
+        # A comment that is marked as an article is none.
+        if name in ARTICLE and not part and not article:
+            around.update(inside)
+            article = True
+        names, barred = names | own, barred or bars
     if block := flush():
         yield block
 
