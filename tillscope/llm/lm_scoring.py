@@ -29,6 +29,10 @@ TRAIN_TOKENS = 600
 COUNT_TOKENS = 4_000_000
 # Text scored side by side: more shares the cost of a step, less needs less memory.
 SCORE_BYTES = 12 << 20
+# Texts that learn in one task have this many tokens for each word with weights of its own, so that
+# the weights a task sends stay small beside the texts it reads; and never fewer than the second figure.
+TOKENS_A_WORD = 512
+LEAST_TASK_TOKENS = 1 << 20
 # Weights sent together when they are averaged; they are summed as whole numbers of this part of
 # one, so that the sum does not depend on its order.
 SLICE = 8_192
@@ -182,11 +186,13 @@ def _spread(weights: dict[str, np.ndarray], seen: np.ndarray, words: int) -> np.
     ])
 
 
-def _learned(training: DataFrame, vocabulary: Vocabulary, start: GatedModel) -> GatedModel:
-    """The model after a pass over all training texts.
+def _learned(training: DataFrame, vocabulary: Vocabulary, start: GatedModel, total: int) -> GatedModel:
+    """The model after a pass over all training texts, of ``total`` tokens.
 
     Every task learns from each token of its texts, from the same start. A weight's moves are
     averaged by the tokens that each task learned it from: a word's by its own, others by all.
+    A hash deals the texts to tasks and orders them there, and the number of tasks follows from
+    the tokens, so the model depends neither on the cluster nor on how the table is stored.
     """
     context = training.sparkSession.sparkContext
     shipped = context.broadcast((vocabulary, start.weights))
@@ -218,8 +224,11 @@ def _learned(training: DataFrame, vocabulary: Vocabulary, start: GatedModel) ->
         for low, (moves, share) in held.items():
             yield _slice_row(low, (moves * UNIT / np.maximum(share, 1)).astype(np.float32), share[:0])
 
-    # Few tasks an executor core, so that what is averaged stays small beside the texts.
-    tasks = training.select("text").coalesce(4 * context.defaultParallelism)
+    share_of_task = max(LEAST_TASK_TOKENS, TOKENS_A_WORD * vocabulary.words)
+    tasks = (
+        training.select(F.xxhash64("doc_id", "text").alias("draw"), "text")
+        .repartition(max(1, -(-total // share_of_task)), "draw").sortWithinPartitions("draw").select("text")
+    )
     kinds = "slice long, moves binary, share binary"
     rows = tasks.mapInArrow(pass_over, kinds).repartition("slice").mapInArrow(average, kinds).collect()
     flat = np.concatenate([v.ravel() for v in start.weights.values()])
@@ -261,7 +270,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         .groupBy("word").agg(F.sum("n").alias("n"), F.first("kind").alias("kind"))
     )
     vocabulary, total, distinct, per_number = _vocabulary(counts)
-    model = _learned(training, vocabulary, _fit(training, vocabulary, per_number))
+    model = _learned(training, vocabulary, _fit(training, vocabulary, per_number), total)
     shipped = spark.sparkContext.broadcast((vocabulary, model.weights))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
