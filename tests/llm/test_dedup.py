@@ -186,10 +186,11 @@ def test_substrings(docs, rows):
     assert sum(w[1] for w in wanted) > 0
 
 
-@pytest.mark.parametrize("limit", [20_000, 2])
-def test_substrings_passages(spark, monkeypatch, limit):
-    """A passage many documents share, in surroundings of their own; also string by string."""
+@pytest.mark.parametrize(("limit", "heavy"), [(20_000, 10_000), (2, 10_000), (20_000, 3)])
+def test_substrings_passages(spark, monkeypatch, limit, heavy):
+    """A passage many documents share, in surroundings of their own; also string by string, and as a heavy key."""
     monkeypatch.setattr("tillscope.llm.substring_dedup.MAX_RUNS", limit)
+    monkeypatch.setattr("tillscope.llm.substring_dedup.HEAVY_ROWS", heavy)
     chance = np.random.default_rng(3)
 
     def noise(n):

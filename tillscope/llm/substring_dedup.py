@@ -31,6 +31,9 @@ from tillscope.llm.textarrays import utf8
 PIECE = 2_000_000
 # An anchor with more kinds of runs than this (about 5 MB) is counted string by string.
 MAX_RUNS = 20_000
+# A key with so many rows, and with so large a share of all, is heavy: its rows are not brought together.
+HEAVY_ROWS = 10_000
+HEAVY_KEYS = 1_000
 
 # Documents taken from a batch at a time.
 ROWS = 256
@@ -65,22 +68,39 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _shared_runs(texts: DataFrame) -> DataFrame:
-    """Runs of anchors that occur more than once."""
-    runs = texts.select(*_KEY, "text").mapInArrow(_runs, _RUN)
-    again = runs.groupBy("anchor").count().where("count > 1").select("anchor")
-    return checkpointed(runs.join(again, "anchor"))
+def _bar(total: int) -> int:
+    """Number of rows from which on a key is heavy; fewer than ``HEAVY_KEYS + 1`` keys can be."""
+    return max(HEAVY_ROWS, -(-total // HEAVY_KEYS))
+
+
+def _join_heavy(rows: DataFrame, known: DataFrame, keys: list[str], n: str, bar: int) -> DataFrame:
+    """Inner join of ``rows`` with ``known``, one row per key, where ``n`` counts the key's rows.
+
+    The rows of a heavy key stay where they are and meet the few heavy keys there, so that no task
+    gets all of them; the others are shuffled.
+    """
+    heavy = F.broadcast(known.where(F.col(n) >= bar))
+    others = rows.join(heavy.select(*keys), keys, "left_anti").join(known.where(F.col(n) < bar), keys)
+    return rows.join(heavy, keys).unionByName(others)
+
+
+def _shared_runs(runs: DataFrame) -> DataFrame:
+    """Runs of anchors that occur more than once, with the number of runs of their anchor."""
+    again = checkpointed(runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"))
+    return checkpointed(_join_heavy(runs, again, ["anchor"], "n", _bar(runs.count())))
 
 
 def _candidates(shared: DataFrame) -> DataFrame:
     """Shared runs that are copies as a whole (``copied``) or must be sorted (``sort``), per document."""
-    kinds = shared.groupBy("anchor", "touched").agg(
+    bar = _bar(shared.count())
+    kinds = checkpointed(shared.groupBy("anchor", "n", "touched").agg(
         F.count("*").alias("copies"), F.min(F.struct("id", "body", "start")).alias("first")
-    )
-    unlike = kinds.groupBy("anchor").agg(F.min("copies").alias("least"), F.count("*").alias("kinds"))
-    unlike = unlike.where("least = 1").select("anchor", "kinds")
-    known = kinds.join(unlike, "anchor", "left")
-    marked = shared.join(known, ["anchor", "touched"]).select(
+    ))
+    by_anchor = kinds.groupBy("anchor", "n").agg(F.min("copies").alias("least"), F.count("*").alias("kinds"))
+    by_anchor = by_anchor.select("anchor", "n", F.when(F.col("least") == 1, F.col("kinds")).alias("kinds"))
+    known = checkpointed(_join_heavy(kinds.drop("n"), by_anchor, ["anchor"], "n", bar).drop("n"))
+    met = _join_heavy(shared.drop("n"), known, ["anchor", "touched"], "copies", bar)
+    marked = met.select(
         *_KEY, "start", "strings", "anchor", (F.col("copies") > 1).alias("copied"),
         (F.col("kinds").isNotNull() & (F.struct("id", "body", "start") == F.col("first"))).alias("sort"),
         (F.col("kinds") > MAX_RUNS).alias("many"),
@@ -222,11 +242,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = _keyed(docs)
-    shared = _shared_runs(texts)
-    candidates = _candidates(shared)
-    table = f"repeats_{uuid.uuid4().hex}"
+    name = uuid.uuid4().hex
+    table, run_table = f"repeats_{name}", f"runs_{name}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
+        # Written, as the runs are read several times and every byte is looked at to find them.
+        texts.select(*_KEY, "text").mapInArrow(_runs, _RUN).write.format("parquet").saveAsTable(run_table)
+        candidates = _candidates(_shared_runs(spark.table(run_table)))
         # Bucketed by document, so that the texts are shuffled once and not again for the cut.
         (
             texts.select(*_KEY, "text").join(candidates, _KEY).repartition(buckets, *_KEY)
@@ -249,7 +271,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         )
         cut = checkpointed(cut.dropDuplicates(_KEY))
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for made in (table, run_table):
+            spark.sql(f"DROP TABLE IF EXISTS {made}")
     whole = texts.select(
         "doc_id", *_KEY, F.octet_length("text").cast("long").alias("n_bytes"),
         F.sha2("text", 256).alias("whole"),
