@@ -10,6 +10,7 @@ from tests.data import SALES, cleaned, merchants, row_set, rows, sale, transacti
 from tillscope import schema
 from tillscope.operators.calendar import for_months, with_months
 from tillscope.plans import results
+from tillscope.sinks import files as files_sink
 from tillscope.sinks.catalog import register_external, write_layers, write_table
 from tillscope.sinks.files import save_results
 from tillscope.sources.files import load_merchants, load_transactions
@@ -96,6 +97,71 @@ def test_small_result_is_one_file_unforced(spark, tmp_path):
     assert len(list((tmp_path / "out.csv").glob("*.csv"))) == 1
 
 
+@pytest.fixture(params=["streamed", "joined"])
+def way(request, spark, monkeypatch):
+    """Both ways to one file: a file system that cannot join files, and one that can."""
+    if request.param == "joined":
+        local = files_sink._file_system(spark, "file:///")
+        raw = spark._jvm.org.apache.hadoop.fs.RawLocalFileSystem()
+        raw.initialize(local.getUri(), spark._jsc.hadoopConfiguration())
+        monkeypatch.setattr(files_sink, "_file_system", lambda *_: raw)
+    return request.param
+
+
+def one_file(folder):
+    parts = [p for p in folder.glob("part-*")]
+    assert len(parts) == 1
+    return parts[0].read_text().splitlines()
+
+
+def test_one_csv_of_many_parts(spark, tmp_path, way):
+    path = str(tmp_path / "out.csv")
+    many = spark.range(20_000, numPartitions=12).select(
+        F.col("id").alias("a,b"), F.concat(F.lit('x "y", '), F.col("id")).alias("t.u"), F.lit(None).cast("int").alias("none"),
+    ).orderBy(F.desc("a,b"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        save_results(many, path, single_file=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    lines = one_file(tmp_path / "out.csv")
+    assert lines[0] == '"a,b",t.u,none'
+    assert [int(line.split(",")[0]) for line in lines[1:]] == list(range(19_999, -1, -1))
+    back = spark.read.option("header", True).option("escape", "\\").csv(path)
+    assert back.select(F.sum("`a,b`")).first()[0] == sum(range(20_000))
+    assert back.where("`t.u` = concat('x \"y\", ', `a,b`)").count() == 20_000
+    assert [p.name for p in tmp_path.iterdir()] == ["out.csv"]
+
+
+def test_one_csv_without_rows(spark, tmp_path, way):
+    save_results(spark.range(5).where("id > 9"), str(tmp_path / "out.csv"), single_file=True)
+    assert one_file(tmp_path / "out.csv") == ["id"]
+
+
+def test_one_csv_modes(spark, tmp_path, way):
+    path, folder = str(tmp_path / "out.csv"), tmp_path / "out.csv"
+    save_results(spark.range(5), path, single_file=True)
+    save_results(spark.range(7), path, single_file=True)
+    assert one_file(folder) == ["id", *map(str, range(7))]
+    save_results(spark.range(3), path, mode="ignore", single_file=True)
+    with pytest.raises(AnalysisException):
+        save_results(spark.range(3), path, mode="error", single_file=True)
+    assert one_file(folder) == ["id", *map(str, range(7))]
+    save_results(spark.range(3), path, mode="append", single_file=True)
+    assert len(list(folder.glob("part-*"))) == 2
+    assert spark.read.option("header", True).csv(path).count() == 10
+
+
+def test_one_csv_that_fails_leaves_the_old(spark, tmp_path, way):
+    path = str(tmp_path / "out.csv")
+    save_results(spark.range(5), path, single_file=True)
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        save_results(broken, path, single_file=True)
+    assert one_file(tmp_path / "out.csv") == ["id", *map(str, range(5))]
+    assert [p.name for p in tmp_path.iterdir()] == ["out.csv"]
+
+
 def test_parquet_sink_and_modes(spark, tmp_path):
     path = str(tmp_path / "out")
     df = cleaned(spark)

@@ -37,6 +37,7 @@ def build_parser() -> argparse.ArgumentParser:
     )
     parser.add_argument("--from-month", type=_month, metavar="YYYY-MM", help="first month of the results")
     parser.add_argument("--to-month", type=_month, metavar="YYYY-MM", help="last month of the results")
+    parser.add_argument("--one-file", action="store_true", help="write each result as one CSV file, however large")
     parser.add_argument("--work-dir", help="folder all executors share (spark.checkpoint.dir)")
     parser.add_argument("--spark-master", help="such as local[4] or spark://host:port")
     parser.add_argument("--spark-executor-memory", help="such as 8g (default: the cluster's)")
@@ -121,6 +122,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         in_cents=args.in_cents,
         totals_dir=args.totals,
         months=months(args),
+        one_file=args.one_file,
         spark=spark,
     )
     try:

@@ -103,7 +103,8 @@ class SparkJob:
     ``in_cents`` declares that amounts have at most two decimals; sums are then exact and
     repeatable. Without it they are sums of doubles. ``totals_dir`` names a folder where totals are
     kept between runs: a run then reads only the sales files that are new. ``months`` limits the
-    results to the months from the first to the last one, as ``(year, month)``.
+    results to the months from the first to the last one, as ``(year, month)``. With ``one_file`` every
+    result is a single CSV file, however large.
     """
 
     def __init__(
@@ -117,6 +118,7 @@ class SparkJob:
         in_cents: bool = False,
         totals_dir: str | None = None,
         months: tuple[Month, Month] | None = None,
+        one_file: bool = False,
         spark: SparkSession | None = None,
     ):
         self.transactions_path = transactions_path
@@ -124,6 +126,7 @@ class SparkJob:
         self.use_hive = use_hive
         self.database = database
         self.in_cents = in_cents
+        self.one_file = one_file
         self.spark = spark or create_session(catalog=use_hive, conf=spark_config)
         self._owns_session = spark is None
         self._cube = KeptTotals(self.spark, totals_dir, months) if totals_dir else SalesCube(self.spark, months)
@@ -205,7 +208,7 @@ class SparkJob:
             self._kept.append(table)
             path = paths.get(output.table)
             if path:
-                save_results(table, path, single_file=output.bounded)
+                save_results(table, path, single_file=self.one_file or output.bounded, bounded=output.bounded)
             if self.use_hive:
                 write_table(table, output.table, self.database)
             tables[output.table] = table
