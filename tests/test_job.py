@@ -152,6 +152,23 @@ def test_commands(spark, inputs, tmp_path, command, files):
         assert list((tmp_path / file).glob("*.csv")), file
 
 
+def test_one_file_for_each_result(spark, inputs, tmp_path):
+    sales, dimension = inputs
+    argv = ["-t", sales, "-m", dimension, "--no-hive", "--one-file", "task4",
+            "-om", str(tmp_path / "m.csv"), "-oc", str(tmp_path / "c.csv")]
+    # Without merging, these results have a partition for each shuffle partition.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert cli.main(argv, spark=spark) == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    for file, output in zip(("m.csv", "c.csv"), TASKS["4"], strict=True):
+        assert len(list((tmp_path / file).glob("part-*"))) == 1
+        want = as_double(output.build(cleaned(spark)))
+        written = spark.read.schema(want.schema).option("header", True).csv(str(tmp_path / file))
+        assert row_set(written) == row_set(want)
+
+
 def test_task_option(spark, inputs, tmp_path):
     sales, dimension = inputs
     argv = ["-t", sales, "-m", dimension, "--no-hive", "--task", "3", "-o", str(tmp_path)]
