@@ -42,6 +42,10 @@ BAND_ORDERS = 2
 LEAST_ESTIMATE = 0.55
 # A pair is not met again at a shingle if it shares one of this many shingles before it.
 LOOK_BACK = 32
+# Of the documents at the commonest shingle, about so many at most meet the others in the first
+# turn, and so many times more in each later one, until all have met.
+FIRST_MET = 32
+MORE = 8
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,14 +167,13 @@ def _similar(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFra
     return _bodies(compact(checkpointed(likely)), texts)
 
 
-def _candidates(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs of documents of different components that can be similar: ``open_docs`` has ``doc_id``, ``component``.
+def _entries(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Where documents can meet similar ones: ``open_docs`` has ``doc_id``, ``component``.
 
     Shingles are ordered by how many of these documents have them, then by hash. With x the smaller
     set of a pair, the common part is at least 6/7 of x and 3/4 of the larger y (from
-    3/7 of both sizes), so it reaches into the first n - 6n/7 + 1 of x and n - 3n/4 + 1 of y. What holds at
-    a shared shingle holds at an earlier one too, so the pair is left to the earliest; only where
-    more than ``LOOK_BACK`` others lie between two shared ones is it met again, and made distinct.
+    3/7 of both sizes), so it reaches into the first n - 6n/7 + 1 of x and n - 3n/4 + 1 of y. An
+    entry is one of these first shingles of a document, with its ``place`` and those ``before`` it.
     """
     rows = texts.join(open_docs, "doc_id").mapInArrow(
         _shingle_rows, "doc_id long, component long, n int, shingle long"
@@ -179,31 +182,48 @@ def _candidates(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
     of_doc = Window.partitionBy("doc_id", "n")
     # Shingles of one document alone come first in its order and lead to no partner.
     place = F.col("n") - F.count("*").over(of_doc) + F.row_number().over(of_doc.orderBy("df", "shingle"))
-    rise, both = F.lit(PERCENT), F.lit(100 + PERCENT)
     before = F.collect_list("shingle").over(of_doc.orderBy("place").rowsBetween(-LOOK_BACK, -1))
-    prefix = checkpointed(
+    return checkpointed(
         rows.join(common, "shingle").select("doc_id", "component", "n", "shingle", place.alias("place"))
-        .where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * rise / 100) + 1)
+        .where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
         .withColumn("before", before)
     )
-    # Entries of the component most frequent at a shingle need not meet one another.
-    homes = prefix.groupBy("shingle", "component").count().groupBy("shingle").agg(
+
+
+def _mixed(entries: DataFrame) -> DataFrame:
+    """The entries at shingles of several components; ``home`` is the one most frequent there."""
+    homes = entries.groupBy("shingle", "component").count().groupBy("shingle").agg(
         F.max_by("component", F.struct("count", "component")).alias("home"), F.count("*").alias("kinds")
     ).where("kinds > 1")
-    at_mixed = prefix.join(homes, "shingle")
+    return entries.join(homes.drop("kinds"), "shingle")
+
+
+def _meetings(at_mixed: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a turn, of different components, that can be similar.
+
+    The turn of a pair is the lesser ``turn`` of its two documents. What holds at
+    a shared shingle holds at an earlier one too, so the pair is left to the earliest; only where
+    more than ``LOOK_BACK`` others lie between two shared ones is it met again, and made distinct.
+    """
+    # Documents of this turn meet all, the others only those of this turn.
+    now = F.col("turn") == turn
+    met = F.explode(F.when(now, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True))))
+    columns = ("doc_id", "component", "n", "place", "before")
+    # Entries of the component most frequent at a shingle need not meet one another.
     left = at_mixed.where("component <> home").select(
-        "shingle", *[F.col(c).alias(f"{c}_l") for c in ("doc_id", "component", "n", "place", "before")]
+        "shingle", met.alias("now"), *[F.col(c).alias(f"{c}_l") for c in columns]
     )
     right = at_mixed.select(
-        "shingle", (F.col("component") == F.col("home")).alias("at_home"),
-        *[F.col(c).alias(f"{c}_r") for c in ("doc_id", "component", "n", "place", "before")],
+        "shingle", now.alias("now"), (F.col("component") == F.col("home")).alias("at_home"),
+        *[F.col(c).alias(f"{c}_r") for c in columns],
     )
+    rise, both = F.lit(PERCENT), F.lit(100 + PERCENT)
     least_common = F.ceil((F.col("n_l") + F.col("n_r")) * rise / both)
     room = 1 + F.least(F.col("n_l") - F.col("place_l"), F.col("n_r") - F.col("place_r"))
     left_is_smaller = F.struct("n_l", "doc_id_l") < F.struct("n_r", "doc_id_r")
     smaller_n = F.when(left_is_smaller, F.col("n_l")).otherwise(F.col("n_r"))
     smaller_place = F.when(left_is_smaller, F.col("place_l")).otherwise(F.col("place_r"))
-    pairs = left.join(right, "shingle").where(
+    pairs = left.join(right, ["shingle", "now"]).where(
         (F.col("component_l") != F.col("component_r"))
         & (F.col("at_home") | (F.col("doc_id_l") < F.col("doc_id_r")))
         & (100 * F.least("n_l", "n_r") >= rise * F.greatest("n_l", "n_r"))
@@ -216,6 +236,54 @@ def _candidates(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _candidates(open_docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs of documents of different components that can be similar, in one turn."""
+    return _meetings(_mixed(_entries(open_docs, texts)).withColumn("turn", F.lit(0)), 0)
+
+
+def _joined(open_docs: DataFrame, links: DataFrame) -> DataFrame:
+    """``open_docs`` with the components that ``links`` make of theirs."""
+    of = {x: open_docs.select(F.col("doc_id").alias(x), F.col("component").alias(f"in_{x}")) for x in "ab"}
+    edges = links.join(of["a"], "a").join(of["b"], "b").select(
+        F.col("in_a").alias("a"), F.col("in_b").alias("b")
+    )
+    into = connected_components(edges).select(
+        F.col("node").alias("component"), F.col("component").alias("into")
+    )
+    return checkpointed(compact(open_docs.join(into, "component", "left").select(
+        "doc_id", F.coalesce("into", "component").alias("component")
+    )))
+
+
+def _links_between(open_docs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of documents of different components, enough to join all that similar pairs join.
+
+    Few documents meet all others first, then ``MORE`` times as many, and so on until all have met.
+    Components are joined after each turn, and what lies in one by then does not meet any
+    more: a family costs pairs until it holds together, not all its pairs.
+    """
+    live = _mixed(_entries(open_docs, texts))
+    most = live.groupBy("shingle").count().agg(F.max("count")).first()[0] or 0
+    last = 0
+    while FIRST_MET * MORE**last < most:
+        last += 1
+    # 0 for one in MORE**last documents, up to 1 for one in MORE**(last - 1), ...
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(MORE**last)) + 1
+    live = checkpointed(live.withColumn(
+        "turn", F.least(F.ceil(F.log(float(MORE), drawn)), F.lit(last)).cast("int")
+    ))
+    links = fresh = _similar(_meetings(live, 0), sketches, texts)
+    for turn in range(1, last + 1):
+        open_docs = _joined(open_docs, fresh)
+        later = live.where(F.col("turn") >= turn).drop("component", "home").join(open_docs, "doc_id")
+        live = checkpointed(_mixed(later))
+        if live.isEmpty():
+            break
+        fresh = _similar(_meetings(live, turn), sketches, texts)
+        links = links.unionByName(fresh)
+    return links
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Component of every document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -253,7 +321,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_docs = placed.join(mixed.where("lo < hi").select("band"), "band").select(
         "doc_id", "component"
     ).distinct()
-    more = _similar(_candidates(checkpointed(compact(open_docs)), texts), sketches, texts)
+    more = _links_between(checkpointed(compact(open_docs)), sketches, texts)
     # A doc_id with several texts lies in several classes and links them.
     spans = classes.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z"))
     bridges = classes.join(spans.where("a < z"), "doc_id").where("class_id > a").select(
