@@ -23,7 +23,8 @@ STREAMS = 32
 WINDOW = 20
 EPOCHS = 3
 RATE = 0.01
-FLUSH = 100_000
+# Tokens scored together: few enough that their logits stay in a core's cache.
+FLUSH = 8_192
 
 # The pass over all texts: streams at most, tokens of one at least where there are several, rate.
 WIDE = 256
@@ -53,12 +54,34 @@ class Rows(NamedTuple):
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1.0)
+    x = np.negative(x)
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1.0
+    return np.reciprocal(x, out=x)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+def _logits(states: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Logits of each state, the largest of which is 0."""
+    x = states @ weights
+    x += bias
+    x -= x.max(axis=1, keepdims=True)
+    return x
+
+
+def _log_chance(x: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Log probability of each row's target; ``x`` is used up."""
+    chosen = x[np.arange(len(targets)), targets]
+    np.exp(x, out=x)
+    return chosen - np.log(x @ np.ones(x.shape[1], x.dtype))
+
+
+def _slope(x: np.ndarray, targets: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Slope of the negative log probability of each row's target, by its weight; ``x`` is used up."""
+    np.exp(x, out=x)
+    x *= (weight / (x @ np.ones(x.shape[1], x.dtype)))[:, None]
+    x[np.arange(len(targets)), targets] -= weight
+    return x
 
 
 class GatedModel:
@@ -73,6 +96,14 @@ class GatedModel:
         """Class of a token number: below ``words`` a frequent word, from there on a rare class."""
         return np.where(ids < self.words, ids // self.class_words, ids - self.words + self.word_classes)
 
+    def by_class(self, ids: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the frequent words, class by class; the classes among them; where each begins."""
+        frequent = np.flatnonzero(ids < self.words)
+        order = frequent[np.argsort(kinds[frequent].astype(np.int16), kind="stable")]
+        counts = np.bincount(kinds[order], minlength=self.word_classes)
+        found = np.flatnonzero(counts)
+        return order, found, np.append(0, np.cumsum(counts[found]))
+
     @classmethod
     def fresh(cls, counts: np.ndarray, used: int, seed: int = 0) -> GatedModel:
         """Small random weights; biases are the logarithms of how often classes and words occur.
@@ -114,19 +145,13 @@ class GatedModel:
         """Natural log of each target's probability: of its class, and for frequent words of the word."""
         w = self.weights
         kinds = self.class_of(targets)
-        logits = states @ w["classes"] + w["class_bias"]
-        top = logits.max(axis=1)
-        chosen = logits[np.arange(len(kinds)), kinds] - top
-        result = chosen - np.log(np.exp(logits - top[:, None]).sum(axis=1))
-        result = result.astype(np.float64)
-        frequent = np.flatnonzero(targets < self.words)
-        order = frequent[np.argsort(kinds[frequent], kind="stable")]
-        bounds = np.searchsorted(kinds[order], np.arange(self.word_classes + 1))
-        for c in range(self.word_classes):
-            rows = order[bounds[c] : bounds[c + 1]]
-            if len(rows):
-                inner = _log_softmax(states[rows] @ w["words"][c] + w["word_bias"][c])
-                result[rows] += inner[np.arange(len(rows)), targets[rows] % self.class_words]
+        result = _log_chance(_logits(states, w["classes"], w["class_bias"]), kinds).astype(np.float64)
+        order, found, bounds = self.by_class(targets, kinds)
+        own, places, inner = states[order], targets[order] % self.class_words, np.empty(len(order))
+        for c, low, high in zip(found.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            x = _logits(own[low:high], w["words"][c], w["word_bias"][c])
+            inner[low:high] = _log_chance(x, places[low:high])
+        result[order] += inner
         return result
 
     def text_scores(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -253,22 +278,21 @@ def _window_gradient(model: GatedModel, ids: np.ndarray, heads: np.ndarray, stat
     grads: dict = {}
 
     kinds = model.class_of(targets)
-    slope = np.exp(_log_softmax(flat @ w["classes"] + w["class_bias"]))
-    slope[np.arange(len(kinds)), kinds] -= 1.0
-    slope *= (weight * scale)[:, None]
+    slope = _slope(_logits(flat, w["classes"], w["class_bias"]), kinds, weight * scale)
     grads["classes"], grads["class_bias"] = flat.T @ slope, slope.sum(axis=0)
     back = slope @ w["classes"].T
-    known = np.flatnonzero((targets < model.words) & (weight > 0))
-    known = known[np.argsort(kinds[known], kind="stable")]
-    found, at = np.unique(kinds[known], return_index=True)
+    # A place without a token counts as beyond the frequent words.
+    order, found, bounds = model.by_class(np.where(weight > 0, targets, model.words), kinds)
+    own, places, shares = flat[order], targets[order] % model.class_words, np.full(len(order), scale)
     slopes = np.zeros((len(found), STATE, model.class_words), flat.dtype)
     bias_slopes = np.zeros((len(found), model.class_words), flat.dtype)
-    for k, (c, own) in enumerate(zip(found.tolist(), np.split(known, at[1:]), strict=False)):
-        inner = np.exp(_log_softmax(flat[own] @ w["words"][c] + w["word_bias"][c]))
-        inner[np.arange(len(own)), targets[own] % model.class_words] -= 1.0
-        inner *= scale
-        slopes[k], bias_slopes[k] = flat[own].T @ inner, inner.sum(axis=0)
-        back[own] += inner @ w["words"][c].T
+    own_back = np.empty_like(own)
+    for k, (c, low, high) in enumerate(zip(found.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+        x = _logits(own[low:high], w["words"][c], w["word_bias"][c])
+        inner = _slope(x, places[low:high], shares[low:high])
+        slopes[k], bias_slopes[k] = own[low:high].T @ inner, inner.sum(axis=0)
+        own_back[low:high] = inner @ w["words"][c].T
+    back[order] += own_back
     grads["words"], grads["word_bias"] = Rows(found, slopes), Rows(found, bias_slopes)
     back = back.reshape(length, rows, STATE)
 
@@ -286,9 +310,10 @@ def _window_gradient(model: GatedModel, ids: np.ndarray, heads: np.ndarray, stat
         ahead = ahead * keep + d_u @ w["loop"].T + back[t]
         # A text's first token starts from the empty state, so nothing goes further back.
         ahead = np.where(heads[:, t, None], np.float32(0), ahead)
-    order = np.argsort(targets, kind="stable")
-    tokens, at = np.unique(targets[order], return_index=True)
-    grads["inputs"] = Rows(tokens, np.add.reduceat(inputs.reshape(-1, 3 * STATE)[order], at, axis=0))
+    tokens, row = np.unique(targets, return_inverse=True)
+    cells = (row[:, None] * (3 * STATE) + np.arange(3 * STATE)).ravel()
+    sums = np.bincount(cells, inputs.ravel(), len(tokens) * 3 * STATE)
+    grads["inputs"] = Rows(tokens, sums.astype(flat.dtype).reshape(-1, 3 * STATE))
     plain = [g.values if isinstance(g, Rows) else g for g in grads.values()]
     norm = np.sqrt(sum(float((g * g).sum()) for g in plain))
     if norm > 1.0:
